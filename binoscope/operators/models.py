@@ -227,20 +227,26 @@ def fit(train: DataFrame, plan: ModelPlan, features: Features, statistics: Mappi
         return FittedModel(plan.name, PipelineModel([SQLTransformer(statement=f"SELECT *, {_sql_number(share)} AS p FROM __THIS__")]), [])
     if len(counts) != 2:
         raise ValueError("Fitting needs both classes.")
-    statistics = statistics_of(train, features) if statistics is None else statistics
-    stages, names = feature_stages(features, statistics, plan.scale)
-    rows = train.select(*features.columns, F.col("y").cast("double").alias("y"))
-    if plan.balanced:
-        rows = rows.withColumn("__weight", F.when(F.col("y") == 1, n / (2 * counts[1])).otherwise(n / (2 * counts[0])))
-    fitted = []
-    for stage in stages:
-        if isinstance(stage, OneHotEncoder):
-            stage = stage.fit(rows)
-        fitted.append(stage)
-        rows = stage.transform(rows)
-    keep = ["features", "y", "__weight"] if plan.balanced else ["features", "y"]
-    model = _estimator(plan, n, seed).fit(rows.select(*keep))
-    return FittedModel(plan.name, PipelineModel([*fitted, model]), names)
+    rows = train.select(*features.columns, "y")
+    if statistics is None:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        statistics = statistics_of(rows, features) if statistics is None else statistics
+        stages, names = feature_stages(features, statistics, plan.scale)
+        made = rows.withColumn("y", F.col("y").cast("double"))
+        if plan.balanced:
+            made = made.withColumn("__weight", F.when(F.col("y") == 1, n / (2 * counts[1])).otherwise(n / (2 * counts[0])))
+        fitted = []
+        for stage in stages:
+            # The encoder reads the level counts from column metadata; no job runs.
+            stage = stage.fit(made) if isinstance(stage, OneHotEncoder) else stage
+            fitted.append(stage)
+            made = stage.transform(made)
+        keep = ["features", "y", "__weight"] if plan.balanced else ["features", "y"]
+        model = _estimator(plan, n, seed).fit(made.select(*keep))
+        return FittedModel(plan.name, PipelineModel([*fitted, model]), names)
+    finally:
+        rows.unpersist()
 
 
 def build_pipeline(train: DataFrame, features: Features, plan: ModelPlan, exclude: Sequence[str] = (), seed: int = 42) -> FittedModel:
@@ -257,10 +263,10 @@ def assemble(df: DataFrame, features: Features, scale: bool = True, keep: Sequen
     return df.select(*keep, "features"), names
 
 
-def in_parallel(tasks: Sequence[Callable[[], object]]) -> list:
+def in_parallel(spark: SparkSession, tasks: Sequence[Callable[[], object]]) -> list:
     """Run independent chains of Spark jobs side by side; results keep the order of the tasks."""
     with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
-        return [job.result() for job in [pool.submit(inheritable_thread_target(task)) for task in tasks]]
+        return [job.result() for job in [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]]
 
 
 def oof_scores(folded: DataFrame, plans: Sequence[ModelPlan], features: Features | Mapping[str, Features], seed: int = 42,
@@ -284,7 +290,7 @@ def oof_scores(folded: DataFrame, plans: Sequence[ModelPlan], features: Features
             model = fit(folded.where(F.col("fold") != fold), plan, of(plan), statistics, seed)
             return model.score(folded.where(F.col("fold") == fold)).select(*keep, F.lit(plan.name).alias("model"), "p")
 
-        parts = in_parallel([lambda plan=plan, fold=fold: one(plan, fold) for plan in plans for fold in folds])
+        parts = in_parallel(folded.sparkSession, [lambda plan=plan, fold=fold: one(plan, fold) for plan in plans for fold in folds])
         return materialize(reduce(DataFrame.unionByName, parts))
     finally:
         folded.unpersist()
@@ -328,7 +334,7 @@ def sigmoid_calibration(train: DataFrame, plan: ModelPlan, features: Features, f
             model = fit(inner.where(F.col("fold") != fold), plan, features, statistics[fold], seed)
             return model, *fit_sigmoid(model.margin(inner.where(F.col("fold") == fold)).select("margin", "y"))
 
-        members = in_parallel([lambda fold=fold: one(fold) for fold in range(folds)])
+        members = in_parallel(train.sparkSession, [lambda fold=fold: one(fold) for fold in range(folds)])
     finally:
         inner.unpersist()
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +20,8 @@ from binoscope.session import BROADCAST_ROWS, rows_per_bucket
 FIRST_LOOK, MOST_RANGES = 999, 20_000
 # Hex digits of the hash that name its bucket: 65,536 equally likely buckets.
 HASH_DIGITS = 4
+# Up to this many strata, cutoffs are written into the plan as literals.
+LITERAL_STRATA = 200
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -171,10 +174,25 @@ def hash_cutoffs(df: DataFrame, strata: Sequence[str], key: Column,
 
 
 def passed_cuts(df: DataFrame, strata: Sequence[str], key: Column, cutoffs: DataFrame) -> DataFrame:
-    """Add `passed`, the number of cutoffs of the row's stratum that lie before its hash; a map-only step."""
-    tagged = same_keys(df.withColumn("__h", key), F.broadcast(cutoffs), strata, "left")
-    cuts = F.coalesce(F.col("cuts"), F.array().cast("array<string>"))
-    return tagged.withColumn("passed", F.size(F.filter(cuts, lambda c: c < F.col("__h"))).cast("long")).drop("__h", "cuts")
+    """Add `passed`, the number of cutoffs of the row's stratum that lie before its hash; a map-only step.
+
+    The cutoffs are a few hashes per stratum. They are fetched once and become literals, so later jobs on the
+    result never repeat the counting; only with very many strata are they joined instead.
+    """
+    few = cutoffs.limit(LITERAL_STRATA + 1).collect()
+    if len(few) > LITERAL_STRATA:
+        tagged = same_keys(df.withColumn("__h", key), broadcast_if_small(cutoffs), strata, "left")
+        cuts = F.coalesce(F.col("cuts"), F.array().cast("array<string>"))
+        return tagged.withColumn("passed", F.size(F.filter(cuts, lambda c: c < F.col("__h"))).cast("long")).drop("__h", "cuts")
+
+    def passed(cuts: list[str]) -> Column:
+        return reduce(lambda a, b: a + b, [(F.lit(c) < F.col("__h")).cast("long") for c in cuts])
+
+    chain = F
+    for row in few:
+        chain = chain.when(reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in strata]), passed(row["cuts"]))
+    counted = chain.otherwise(F.lit(0).cast("long")) if few else F.lit(0).cast("long")
+    return df.withColumn("__h", key).withColumn("passed", counted).drop("__h")
 
 
 def hash_rank(df: DataFrame, strata: Sequence[str], key: Column, digits: int = 3) -> DataFrame:
