@@ -28,6 +28,12 @@ def count_where(condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, 1).otherwise(0)), F.lit(0)).cast("long")
 
 
+def steps_reached(value: Column, steps: Sequence[float], strict: bool = False) -> Column:
+    """How many of the ascending steps the value reaches (or exceeds, if strict), as plain comparisons."""
+    reached = [((F.lit(float(s)) < value) if strict else (F.lit(float(s)) <= value)).cast("int") for s in steps]
+    return reduce(lambda a, b: a + b, reached, F.lit(0))
+
+
 def blank(column: Column) -> Column:
     """Empty or whitespace only."""
     return column.rlike(r"^\s*$")

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binoscope.functions.hashing import hash_hex, hash_int, hash_uniform
-from binoscope.functions.scalars import count_where, same_keys
+from binoscope.functions.scalars import count_where, same_keys, steps_reached
 from binoscope.operators.metrics import FOLD_METRICS, check_threshold, evaluate
-from binoscope.operators.order import hash_rank
+from binoscope.operators.order import hash_rank, split_points
 
 # Cumulative Poisson(1) probabilities; the last is 1 to double precision.
 POISSON_STEPS = 18
@@ -54,11 +54,9 @@ def poisson_weights(scored: DataFrame, n_boot: int, seed: int) -> DataFrame:
         total += term
         cumulative.append(total)
         term /= k + 1
-    steps = F.array(*[F.lit(c) for c in cumulative])
     spread = scored.select("id", "y", "p").withColumn("replicate", _replicates(n_boot))
-    uniform = hash_uniform(seed, F.col("replicate"), F.col("id"))
-    weighted = spread.withColumn("u", uniform).withColumn("weight", F.size(F.filter(steps, lambda c: c <= F.col("u"))))
-    return weighted.where(F.col("weight") > 0).select("replicate", "y", "p", "weight")
+    weighted = spread.withColumn("u", hash_uniform(seed, F.col("replicate"), F.col("id")))
+    return weighted.select("replicate", "y", "p", steps_reached(F.col("u"), cumulative).alias("weight"))
 
 
 def bootstrap_ci(scored: DataFrame, threshold: float, n_boot: int = 1000, confidence: float = 0.95, seed: int = 42,
@@ -71,14 +69,16 @@ def bootstrap_ci(scored: DataFrame, threshold: float, n_boot: int = 1000, confid
     low, high = _check(n_boot, confidence)
     if method not in ("draws", "poisson"):
         raise ValueError("method is 'draws' or 'poisson'.")
-    point = evaluate(scored, threshold)
-    classes = point.select((F.col("positive_count") > 0).alias("a"), (F.col("positive_count") < F.col("n")).alias("b")).first()
-    if not (classes and classes["a"] and classes["b"]):
+    classes = scored.agg(F.min("y").alias("low"), F.max("y").alias("high")).first()
+    if (classes["low"], classes["high"]) != (0, 1):
         raise ValueError("Bootstrap intervals need both classes.")
+    # A replicate has about as many rows as the table, so the table's own value ranges fit every replicate.
+    cuts = split_points(scored, "p")
+    point = evaluate(scored, threshold, cuts=cuts)
     if method == "draws":
-        replicas = evaluate(class_draws(scored, n_boot, seed), threshold, ["replicate"])
+        replicas = evaluate(class_draws(scored, n_boot, seed), threshold, ["replicate"], cuts=cuts)
     else:
-        replicas = evaluate(poisson_weights(scored, n_boot, seed), threshold, ["replicate"], weight="weight")
+        replicas = evaluate(poisson_weights(scored, n_boot, seed), threshold, ["replicate"], weight="weight", cuts=cuts)
     long = replicas.select("replicate", *FOLD_METRICS).unpivot(["replicate"], FOLD_METRICS, "metric", "value")
     # n_boot values per metric: the built-in percentile holds no more than that.
     bounds = long.groupBy("metric").agg(F.percentile("value", F.lit(low)).alias("lower"), F.percentile("value", F.lit(high)).alias("upper"))

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from binoscope.functions.scalars import melt, same_keys
-from binoscope.operators.order import exact_quantiles
+from binoscope.functions.scalars import melt, same_keys, steps_reached
+from binoscope.operators.order import exact_quantiles, local_if_small
 
 # Fixed values of the index: decile cuts, share floor, status limits, rows below which it is mostly noise.
 DECILES = {f"d{i}": i / 10 for i in range(1, 10)}
@@ -25,9 +25,9 @@ def bin_number(value: Column, cuts: Column) -> Column:
 
 def bin_shares(df: DataFrame, column: str, cuts: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Share of the non-null values in each bin, empty bins kept; no rows at all give null shares."""
-    edges = F.array(*[F.lit(float(c)) for c in cuts]) if cuts else F.array().cast("array<double>")
-    counted = df.groupBy(*by, bin_number(F.col(column).cast("double"), edges).alias("bin"), F.col(column).isNotNull().alias("present")) \
-                .agg(F.count(F.lit(1)).alias("n"))
+    value = F.col(column).cast("double")
+    placed = df.select(*by, value.isNotNull().alias("present"), F.coalesce(steps_reached(value, sorted(cuts), strict=True), F.lit(0)).alias("bin"))
+    counted = placed.groupBy(*by, "present", "bin").agg(F.count(F.lit(1)).alias("n"))
     packed = counted.groupBy(*by).agg(
         F.map_from_entries(F.collect_list(F.when(F.col("present"), F.struct("bin", "n")))).alias("cells"),
         F.sum(F.when(F.col("present"), F.col("n"))).alias("total"))
@@ -44,7 +44,7 @@ def decile_cuts(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 
 def _numeric_cells(df: DataFrame, numeric: Sequence[str], cuts: DataFrame) -> DataFrame:
     """(feature, bin, n) for present values and bin null for missing ones; cuts has one row per feature."""
-    tagged = same_keys(melt(df, [], numeric), F.broadcast(cuts), ["feature"])
+    tagged = same_keys(melt(df, [], numeric), local_if_small(cuts), ["feature"])
     place = F.when(F.col("value").isNotNull(), bin_number(F.col("value"), F.col("cuts")).cast("string"))
     return tagged.groupBy("feature", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -94,18 +94,18 @@ def drift_status(value: Column) -> Column:
 def drift_report(df: DataFrame, profile: DataFrame) -> DataFrame:
     """One row per feature of the profile; values the profile never saw form one more bin of a categorical.
 
-    The profile holds one row per feature, so it is collected to know the columns and broadcast to the cells.
+    The profile holds one row per feature, so it is fetched to know the columns and broadcast to the cells.
     Categories are compared on the counted cells, never on the rows.
     """
+    profile = local_if_small(profile)
     kinds = {row["feature"]: row["kind"] for row in profile.select("feature", "kind").collect()}
     numeric = [f for f, kind in kinds.items() if kind == "numeric"]
     categorical = [f for f, kind in kinds.items() if kind == "categorical"]
-    small = F.broadcast(profile)
     parts = []
     if numeric:
         parts.append(_numeric_cells(df, numeric, profile.select("feature", "cuts")))
     if categorical:
-        cells = same_keys(_categorical_cells(df, categorical), small.select("feature", "shares"), ["feature"])
+        cells = same_keys(_categorical_cells(df, categorical), profile.select("feature", "shares"), ["feature"])
         known = F.map_contains_key("shares", F.coalesce("bin", F.lit("")))
         parts.append(cells.groupBy("feature", F.when(F.col("bin").isNotNull(), F.when(known, F.col("bin")).otherwise(UNSEEN)).alias("bin"))
                      .agg(F.sum("n").alias("n")))

@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from binoscope.functions.scalars import MACHINE_EPSILON, count_where, ratio, ratio_or_zero, same_keys
-from binoscope.operators.order import broadcast_if_small, running_totals, split_points
+from binoscope.functions.scalars import MACHINE_EPSILON, count_where, ratio, ratio_or_zero, same_keys, steps_reached
+from binoscope.operators.order import local_if_small, running_totals, split_points
 
 DEFAULT_THRESHOLD = 0.5
 THRESHOLD_GRID = [round(0.05 * i, 2) for i in range(1, 20)]
@@ -128,7 +128,7 @@ def threshold_table(scored: DataFrame, grid: Sequence[float] | None = None, by:
     if not grid:
         raise ValueError("The threshold grid is empty.")
     steps = F.array(*[F.lit(t) for t in grid])
-    reached = scored.withColumn("reached", F.size(F.filter(steps, lambda t: t <= F.col("p"))))
+    reached = scored.withColumn("reached", steps_reached(F.col("p"), grid))
     cells = reached.groupBy(*by, "reached").agg(count_where(F.col("y") == 1).alias("n_pos"),
                                                 count_where(F.col("y") == 0).alias("n_neg"))
     swept = cells.select("*", F.posexplode(steps).alias("step", "threshold"))
@@ -206,12 +206,12 @@ def capacity(scored: DataFrame, fractions: Sequence[float] = (0.05, 0.10, 0.20),
     asked = curve.withColumn("capacity_fraction", F.explode(F.array(*[F.lit(float(f)) for f in fractions])))
     at_cut = asked.where((F.col("tp") + F.col("fp") >= size)
                          & (F.col("tp") - F.col("n_pos") + F.col("fp") - F.col("n_neg") < size))
-    cut = at_cut.select(*keys, "p", size.alias("selected_count"), "n_p", total.alias("n"),
+    cut = local_if_small(at_cut.select(*keys, "p", size.alias("selected_count"), "n_p", total.alias("n"),
                         (F.col("tp") - F.col("n_pos")).alias("tp_above"), "n_pos",
                         (size - (F.col("tp") - F.col("n_pos") + F.col("fp") - F.col("n_neg"))).alias("wanted"),
-                        (F.col("n_pos") + F.col("n_neg")).alias("tied"))
+                        (F.col("n_pos") + F.col("n_neg")).alias("tied")))
     tied = same_keys(scored.select(*by, "p", "y", F.col(tie).alias("tie"), F.lit(1).alias("one")),
-                     broadcast_if_small(cut.where(F.col("wanted") < F.col("tied")).select(*keys, "p", "wanted")), [*by, "p"])
+                     cut.where(F.col("wanted") < F.col("tied")).select(*keys, "p", "wanted"), [*by, "p"])
     ordered = running_totals(tied, keys, "tie", ["one", "y"], split_points(tied, "tie"))
     inside = ordered.where(F.col("run_one") <= F.col("wanted")).groupBy(*keys).agg(F.sum("y").alias("tp_tied"))
     found = same_keys(cut, inside, keys, "left")

@@ -15,43 +15,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binoscope.functions.scalars import same_keys
-from binoscope.session import BROADCAST_ROWS, rows_per_bucket
+from binoscope.session import rows_per_bucket
 
-FIRST_LOOK, MOST_RANGES = 999, 20_000
+# A table too large for one sort is cut into at least this many ranges, and at most into MOST_RANGES.
+LEAST_RANGES, MOST_RANGES = 1_000, 20_000
+SAMPLE_PER_RANGE = 200
 # Hex digits of the hash that name its bucket: 65,536 equally likely buckets.
 HASH_DIGITS = 4
 # Up to this many strata, cutoffs are written into the plan as literals.
 LITERAL_STRATA = 200
+# Largest intermediate report, in rows, that is fetched and held as a local table.
+LOCAL_ROWS = 10_000
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast only after counting; a larger table is left to the join Spark picks."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def local_if_small(df: DataFrame, limit: int = LOCAL_ROWS) -> DataFrame:
+    """A small result fetched once and held as a local table, marked for broadcast; a larger one is returned as it is.
+
+    Whatever joins it then does not compute it again, and the broadcast size is known, not guessed.
+    """
+    rows = df.limit(limit + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= limit else df
 
 
 def split_points(df: DataFrame, value: str) -> list[float]:
     """Cut values after which no range holds many more than the allowed rows; none for a small table.
 
-    Cuts come from a mergeable quantile sketch, so this is one pass without a shuffle of rows. A value that
-    repeats often takes up several quantiles and thereby stands alone in its range.
+    The row count decides, and it needs no column. Only a large table is sampled for its quantiles, as in a range
+    partitioning; cuts shape the ranges but never the result. A frequent value repeats among the quantiles and
+    thereby stands alone in its range.
     """
-    allowed = rows_per_bucket(df.sparkSession)
-    number = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
-
-    def look(points: int):
-        probabilities = [(i + 1) / (points + 1) for i in range(points)]
-        return number.agg(F.count("v").alias("n"),
-                          F.percentile_approx("v", probabilities, max(10_000, 4 * points)).alias("cuts")).first()
-
-    found = look(FIRST_LOOK)
-    ranges = math.ceil(found["n"] / allowed)
-    if ranges <= 1:
+    rows = df.count()
+    needed = math.ceil(rows / rows_per_bucket(df.sparkSession))
+    if needed <= 1:
         return []
-    cuts = found["cuts"]
-    if ranges > FIRST_LOOK + 1:
-        cuts = look(min(ranges, MOST_RANGES) - 1)["cuts"]
-    step = max(1, (len(cuts) + 1) // ranges)
-    return sorted(set(cuts[step - 1::step]))
+    ranges = min(max(needed, LEAST_RANGES), MOST_RANGES)
+    sample = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    share = ranges * SAMPLE_PER_RANGE / rows
+    sample = sample.sample(share, seed=1) if share < 1 else sample
+    probabilities = [i / ranges for i in range(1, ranges)]
+    cuts = sample.agg(F.percentile_approx("v", probabilities, 4 * ranges).alias("cuts")).first()["cuts"]
+    return sorted(set(cuts or []))
 
 
 def with_range(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
@@ -125,7 +128,7 @@ def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, probabilitie
         for condition in wanted[1:]:
             holds = holds | condition
         targets = spans.where(holds).select(*keys, (F.col("run_n") - F.col("n")).alias("before_n"), "total_n")
-        near = same_keys(ranged, broadcast_if_small(targets), keys)
+        near = same_keys(ranged, local_if_small(targets), keys)
         cells = near.groupBy(*keys, value).agg(amount.alias("n"), F.first("before_n").alias("before_n"),
                                                F.first("total_n").alias("total_n"))
         window = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -181,7 +184,7 @@ def passed_cuts(df: DataFrame, strata: Sequence[str], key: Column, cutoffs: Data
     """
     few = cutoffs.limit(LITERAL_STRATA + 1).collect()
     if len(few) > LITERAL_STRATA:
-        tagged = same_keys(df.withColumn("__h", key), broadcast_if_small(cutoffs), strata, "left")
+        tagged = same_keys(df.withColumn("__h", key), cutoffs, strata, "left")
         cuts = F.coalesce(F.col("cuts"), F.array().cast("array<string>"))
         return tagged.withColumn("passed", F.size(F.filter(cuts, lambda c: c < F.col("__h"))).cast("long")).drop("__h", "cuts")
 

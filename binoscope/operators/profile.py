@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from binoscope.functions.scalars import melt, same_keys
 from binoscope.operators.checks import duplicate_rows
-from binoscope.operators.order import exact_quantiles
+from binoscope.operators.order import exact_quantiles, local_if_small
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -103,8 +103,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, k: float =
     columns = list(columns or numeric_columns(df))
     long = melt(df, [], columns)
     quartiles = exact_quantiles(long, ["feature"], "value", {"q1": 0.25, "q3": 0.75})
-    # One row per feature.
-    fenced = same_keys(long, F.broadcast(quartiles), ["feature"], "left")
+    fenced = same_keys(long, local_if_small(quartiles), ["feature"], "left")
     iqr = F.col("q3") - F.col("q1")
     outside = (F.col("value") < F.col("q1") - k * iqr) | (F.col("value") > F.col("q3") + k * iqr)
     return fenced.groupBy("feature").agg(F.sum(F.when(outside, 1).otherwise(0)).cast("long").alias("outlier_count"))

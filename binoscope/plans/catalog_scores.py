@@ -233,8 +233,8 @@ N_BOOT = 20
 
 def _bootstrap_sql(replicas: str, point: str = "point") -> str:
     return "SELECT * FROM (" + " UNION ALL ".join(
-        f"""SELECT '{m}' AS metric, round(any_value(e.{m}), 6) + 0.0 AS estimate, round(quantile_cont(r.{m}, 0.025), 6) + 0.0 AS lower,
-      round(quantile_cont(r.{m}, 0.975), 6) + 0.0 AS upper, 0.95::DOUBLE AS confidence, {N_BOOT} AS replicates, 0.5::DOUBLE AS threshold
+        f"""SELECT '{m}' AS metric, round(any_value(e.{m}), 9) + 0.0 AS estimate, round(quantile_cont(r.{m}, 0.025), 9) + 0.0 AS lower,
+      round(quantile_cont(r.{m}, 0.975), 9) + 0.0 AS upper, 0.95::DOUBLE AS confidence, {N_BOOT} AS replicates, 0.5::DOUBLE AS threshold
       FROM {replicas} r, {point} e""" for m in S.FOLD_METRICS) + ")"
 
 
@@ -245,7 +245,7 @@ def _bootstrap_sql(replicas: str, point: str = "point") -> str:
   drawn AS (SELECT d.replicate, d.y, r.p FROM draws d JOIN ranked r ON d.y = r.y AND d.place = r.place),
   {S.evaluation('drawn', 0.5, ['replicate'], 'replicas')}, {S.evaluation('scored', 0.5, [], 'point')} """ + _bootstrap_sql("replicas"))
 def bootstrap_ci(spark, sf_dir):
-    return rounded(bootstrap.bootstrap_ci(B.scored(spark, sf_dir), 0.5, N_BOOT))
+    return rounded(bootstrap.bootstrap_ci(B.scored(spark, sf_dir), 0.5, N_BOOT), 9)
 
 
 def _poisson_sql(uniform: str) -> str:
@@ -262,7 +262,7 @@ def _poisson_sql(uniform: str) -> str:
   weighted AS (SELECT replicate, y, p, {_poisson_sql('u')} AS w FROM spread), present AS (SELECT * FROM weighted WHERE w > 0),
   {S.evaluation('present', 0.5, ['replicate'], 'replicas', 'w')}, {S.evaluation('scored', 0.5, [], 'point')} """ + _bootstrap_sql("replicas"))
 def bootstrap_poisson(spark, sf_dir):
-    return rounded(bootstrap.bootstrap_ci(B.scored(spark, sf_dir), 0.5, N_BOOT, method="poisson"))
+    return rounded(bootstrap.bootstrap_ci(B.scored(spark, sf_dir), 0.5, N_BOOT, method="poisson"), 9)
 
 
 BANDED = f"""{S.SCORED_GROUPS}, banded AS (SELECT id, y, p, segment, region, CASE WHEN acctbal > -1000 AND acctbal <= 2000 THEN 'low'
@@ -297,11 +297,11 @@ def subgroups(spark, sf_dir):
     FROM sizes, (SELECT range AS replicate FROM range({N_BOOT})) GROUP BY ALL),
   rates AS (SELECT attribute, "group", replicate, sum(CASE WHEN y = 1 THEN hits / n END) AS recall,
     sum(CASE WHEN y = 0 THEN hits / n END) AS false_positive_rate, sum(hits) / sum(n) AS selection_rate FROM hits GROUP BY ALL)
-  SELECT attribute, "group", """ + ", ".join(f"round(quantile_cont({m}, {q}), 6) + 0.0 AS {m}_{side}" for m in
+  SELECT attribute, "group", """ + ", ".join(f"round(quantile_cont({m}, {q}), 9) + 0.0 AS {m}_{side}" for m in
                                             ("recall", "false_positive_rate", "selection_rate") for side, q in (("lower", 0.025), ("upper", 0.975)))
           + ' FROM rates GROUP BY attribute, "group"')
 def subgroup_ci(spark, sf_dir):
-    return rounded(bootstrap.subgroup_ci(_banded(spark, sf_dir), ATTRIBUTES, 0.5, N_BOOT))
+    return rounded(bootstrap.subgroup_ci(_banded(spark, sf_dir), ATTRIBUTES, 0.5, N_BOOT), 9)
 
 
 @register("G18_fold_summary", f"WITH {S.FOLDED_MODELS}, {S.evaluation('folded', 0.5, ['model', 'fold'], 'per_fold')}, "

@@ -320,12 +320,12 @@ def correlation_matrix(spark, sf_dir):
   FROM cls_nulls GROUP BY y), filled AS (
   SELECT c.y, least(CAST(floor((totalprice - low) / width) AS BIGINT), 15) AS bin, count(*) AS n
   FROM cls_nulls c JOIN extent e ON c.y = e.y WHERE totalprice IS NOT NULL GROUP BY 1, 2)
-  SELECT CAST(e.y AS BIGINT) AS y, b.bin, round(low + b.bin * width, 4) + 0.0 AS lower, round(low + (b.bin + 1) * width, 4) + 0.0 AS upper,
-    coalesce(n, 0) AS n, round(coalesce(n, 0) / (n_class * width) * 1e6, 4) + 0.0 AS density_per_million
+  SELECT CAST(e.y AS BIGINT) AS y, b.bin, round(low + b.bin * width, 6) + 0.0 AS lower, round(low + (b.bin + 1) * width, 6) + 0.0 AS upper,
+    coalesce(n, 0) AS n, round(coalesce(n, 0) / (n_class * width) * 1e6, 6) + 0.0 AS density_per_million
   FROM extent e CROSS JOIN (SELECT range AS bin FROM range(16)) b LEFT JOIN filled f ON f.y = e.y AND f.bin = b.bin""")
 def histogram_by_class(spark, sf_dir):
     table = profile.histogram_by_class(B.cls_nulls(spark, sf_dir), "totalprice")
-    return rounded(table.withColumn("density_per_million", F.col("density") * 1e6).drop("density"), 4)
+    return rounded(table.withColumn("density_per_million", F.col("density") * 1e6).drop("density"))
 
 
 @register("C10_top_rows", f"WITH {S.CLS_NULLS} SELECT id, round(totalprice, 4) + 0.0 AS totalprice, segment FROM cls_nulls "

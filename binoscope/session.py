@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 # How many rows one task may be asked to sort at once; beyond it ordered work is split into value ranges.
 ROWS_PER_BUCKET = 2_000_000
 ROWS_PER_BUCKET_CONF = "binoscope.rowsPerBucket"
-# Largest table, in rows, that is ever marked for broadcast after being counted.
-BROADCAST_ROWS = 100_000
 
 
 def get_session(app: str = "binoscope", cores: str | int = "*", shuffle_partitions: int | None = None) -> SparkSession:
