@@ -218,18 +218,20 @@ def _estimator(plan: ModelPlan, n: int, seed: int):
     raise ValueError(f"Unknown model family {plan.family!r}.")
 
 
-def fit(train: DataFrame, plan: ModelPlan, features: Features, statistics: Mapping[str, dict] | None = None, seed: int = 42) -> FittedModel:
-    """Fit one plan on (features..., y); `statistics` may be given when they are already known for these rows."""
-    counts = {row["y"]: row["n"] for row in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+def fit(train: DataFrame, plan: ModelPlan, features: Features, statistics: Mapping[str, dict] | None = None, seed: int = 42,
+        counts: Mapping[int, int] | None = None) -> FittedModel:
+    """Fit one plan on (features..., y); statistics and class counts may be given when they are already known."""
+    rows = train.select(*features.columns, "y")
+    if statistics is None and plan.family != "prior":
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    if counts is None:
+        counts = {row["y"]: row["n"] for row in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(counts.values())
     if plan.family == "prior":
         share = counts.get(1, 0) / n
         return FittedModel(plan.name, PipelineModel([SQLTransformer(statement=f"SELECT *, {_sql_number(share)} AS p FROM __THIS__")]), [])
-    if len(counts) != 2:
+    if not (counts.get(0) and counts.get(1)):
         raise ValueError("Fitting needs both classes.")
-    rows = train.select(*features.columns, "y")
-    if statistics is None:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         statistics = statistics_of(rows, features) if statistics is None else statistics
         stages, names = feature_stages(features, statistics, plan.scale)
@@ -279,7 +281,8 @@ def oof_scores(folded: DataFrame, plans: Sequence[ModelPlan], features: Features
     of = (lambda plan: features[plan.name]) if isinstance(features, Mapping) else (lambda plan: features)
     folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        folds = sorted(r["fold"] for r in folded.select("fold").distinct().collect())
+        per_fold = {(r["fold"], r["y"]): r["n"] for r in folded.groupBy("fold", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+        folds = sorted({fold for fold, _ in per_fold})
         known: dict[int, dict] = {}
         for plan in plans:
             if plan.family != "prior" and id(of(plan)) not in known:
@@ -287,7 +290,8 @@ def oof_scores(folded: DataFrame, plans: Sequence[ModelPlan], features: Features
 
         def one(plan: ModelPlan, fold: int):
             statistics = None if plan.family == "prior" else known[id(of(plan))][fold]
-            model = fit(folded.where(F.col("fold") != fold), plan, of(plan), statistics, seed)
+            counts = {y: sum(n for (other, label), n in per_fold.items() if other != fold and label == y) for y in (0, 1)}
+            model = fit(folded.where(F.col("fold") != fold), plan, of(plan), statistics, seed, counts)
             return model.score(folded.where(F.col("fold") == fold)).select(*keep, F.lit(plan.name).alias("model"), "p")
 
         parts = in_parallel(folded.sparkSession, [lambda plan=plan, fold=fold: one(plan, fold) for plan in plans for fold in folds])

@@ -20,8 +20,8 @@ from binoscope.session import rows_per_bucket
 # A table too large for one sort is cut into at least this many ranges, and at most into MOST_RANGES.
 LEAST_RANGES, MOST_RANGES = 1_000, 20_000
 SAMPLE_PER_RANGE = 200
-# Hex digits of the hash that name its bucket: 65,536 equally likely buckets.
-HASH_DIGITS = 4
+# Rows of one hash bucket that are ranked together.
+ROWS_PER_HASH_BUCKET = 500_000
 # Up to this many strata, cutoffs are written into the plan as literals.
 LITERAL_STRATA = 200
 # Largest intermediate report, in rows, that is fetched and held as a local table.
@@ -150,15 +150,23 @@ def exact_quantiles(rows: DataFrame, by: Sequence[str], value: str, probabilitie
                                 for n in probabilities])
 
 
-def hash_cutoffs(df: DataFrame, strata: Sequence[str], key: Column,
-                 ranks: Callable[[Column], list[Column]]) -> DataFrame:
+def hash_digits(rows: int) -> int:
+    """Leading hex digits that cut this many uniformly hashed rows into buckets of bounded size."""
+    digits = 1
+    while rows / 16 ** digits > ROWS_PER_HASH_BUCKET:
+        digits += 1
+    return digits
+
+
+def hash_cutoffs(df: DataFrame, strata: Sequence[str], key: Column, ranks: Callable[[Column], list[Column]],
+                 rows: int) -> DataFrame:
     """Per stratum, the hash values that stand at the given ranks of the hash order: (strata..., cuts array).
 
     The table is counted by hash bucket (a map-side combined aggregate) and only the buckets that hold a wanted
-    rank are ranked, about one row in 65,536 each. Comparing a row with the cuts later needs no shuffle at all.
+    rank are ranked. Comparing a row with the cuts later needs no shuffle at all. `rows` is the size of the table.
     """
     strata = list(strata)
-    keyed = df.select(*strata, key.alias("h")).withColumn("bucket", F.substring("h", 1, HASH_DIGITS))
+    keyed = df.select(*strata, key.alias("h")).withColumn("bucket", F.substring("h", 1, hash_digits(rows)))
     counts = keyed.groupBy(*strata, "bucket").agg(F.count(F.lit(1)).alias("n"))
     spans = running_totals(counts, strata, "bucket", ["n"], [])
     slots = spans.select(*strata, "bucket", "run_n", "n", "total_n", F.posexplode(F.array(*[
@@ -198,13 +206,13 @@ def passed_cuts(df: DataFrame, strata: Sequence[str], key: Column, cutoffs: Data
     return df.withColumn("__h", key).withColumn("passed", counted).drop("__h")
 
 
-def hash_rank(df: DataFrame, strata: Sequence[str], key: Column, digits: int = 3) -> DataFrame:
+def hash_rank(df: DataFrame, strata: Sequence[str], key: Column) -> DataFrame:
     """Add `place` (1, 2, ... in hash order inside the stratum) and `stratum_rows`.
 
     Buckets of a uniform hash are equal in size whatever the data, so no stratum is ever sorted in one task.
     """
     strata = list(strata)
-    keyed = df.withColumn("__h", key).withColumn("__b", F.substring("__h", 1, digits))
+    keyed = df.withColumn("__h", key).withColumn("__b", F.substring("__h", 1, hash_digits(df.count())))
     counts = keyed.groupBy(*strata, "__b").agg(F.count(F.lit(1)).alias("n"))
     spans = running_totals(counts, strata, "__b", ["n"], [])
     offsets = spans.select(*strata, "__b", (F.col("run_n") - F.col("n")).alias("__before"),

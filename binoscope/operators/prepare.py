@@ -87,10 +87,13 @@ def fit_statistics(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
     fitted = {}
     if numeric:
         long = melt(df, [fold], numeric)
-        cells = long.groupBy(fold, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
-        training = outside(cells).groupBy("train_fold", "feature", "value").agg(F.sum("n").alias("n"))
-        medians = exact_quantiles(training, ["train_fold", "feature"], "value", {"median": 0.5}, "n",
-                                  split_points(long, "value"))
+        cuts, keys, half = split_points(long, "value"), ["train_fold", "feature"], {"median": 0.5}
+        if cuts:
+            # Ranges are counted on the map side, so the repeated rows never travel.
+            medians = exact_quantiles(outside(long), keys, "value", half, cuts=cuts)
+        else:
+            cells = long.groupBy(fold, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+            medians = exact_quantiles(outside(cells), keys, "value", half, "n", cuts)
         moments = long.groupBy(fold, "feature").agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n"),
                                                     F.avg("value").alias("mean"), F.var_pop("value").alias("var"))
         parts = same_keys(outside(moments), medians, ["train_fold", "feature"], "left")

@@ -25,7 +25,7 @@ def stratified_split(df: DataFrame, id: str = "id", y: str = "y", share: float =
     if not 0 < share < 1:
         raise ValueError("The holdout share must lie between 0 and 1.")
     key = hash_hex(seed, F.col(id))
-    cutoffs = hash_cutoffs(df, [y], key, lambda total: [F.floor(F.lit(share) * total + 0.5)])
+    cutoffs = hash_cutoffs(df, [y], key, lambda total: [F.floor(F.lit(share) * total + 0.5)], df.count())
     return passed_cuts(df, [y], key, cutoffs).withColumn(
         "partition", F.when(F.col("passed") == 0, "test").otherwise("train")).drop("passed")
 
@@ -41,31 +41,33 @@ def _fold_ranks(k: int):
 
 
 def stratified_folds(df: DataFrame, id: str = "id", y: str = "y", k: int = FOLDS, seed: int | Column = DEFAULT_SEED,
-                     within: Sequence[str] = (), name: str = "fold") -> DataFrame:
+                     within: Sequence[str] = (), name: str = "fold", rows: int | None = None) -> DataFrame:
     """Add a fold number 0..k-1; inside each class (and `within` group) fold sizes differ by at most one.
 
     Folds are consecutive stretches of the hash order. `seed` may be a column, for several seeds in one pass.
+    `rows` saves counting a table whose size is known.
     """
     if k < 2:
         raise ValueError("At least two folds are needed.")
     strata, key = [*within, y], hash_hex(seed, F.col(id))
-    cutoffs = hash_cutoffs(df, strata, key, _fold_ranks(k))
+    cutoffs = hash_cutoffs(df, strata, key, _fold_ranks(k), df.count() if rows is None else rows)
     return passed_cuts(df, strata, key, cutoffs).withColumnRenamed("passed", name)
 
 
 def nested_folds(df: DataFrame, id: str = "id", y: str = "y", outer: int = FOLDS, inner: int = FOLDS,
                  seed: int = DEFAULT_SEED) -> DataFrame:
     """Inner folds made anew inside every outer training part: one row per (row, outer fold it trains for)."""
-    held_out = stratified_folds(df, id, y, outer, seed, name="own_fold")
+    rows = df.count()
+    held_out = stratified_folds(df, id, y, outer, seed, name="own_fold", rows=rows)
     training = held_out.withColumn("outer_fold", F.explode(F.sequence(F.lit(0), F.lit(outer - 1)).cast("array<bigint>"))) \
                        .where(F.col("outer_fold") != F.col("own_fold"))
-    return stratified_folds(training, id, y, inner, f"{seed}|inner", ["outer_fold"], "inner_fold").drop("own_fold")
+    return stratified_folds(training, id, y, inner, f"{seed}|inner", ["outer_fold"], "inner_fold", rows).drop("own_fold")
 
 
 def seeded_folds(df: DataFrame, seeds: Sequence[int], id: str = "id", y: str = "y", k: int = FOLDS) -> DataFrame:
     """The fold rule for several seeds at once, as rows keyed by seed."""
     repeated = df.withColumn("seed", F.explode(F.array(*[F.lit(int(s)).cast("long") for s in seeds])))
-    return stratified_folds(repeated, id, y, k, F.col("seed"), ["seed"])
+    return stratified_folds(repeated, id, y, k, F.col("seed"), ["seed"], rows=df.count())
 
 
 def sample_n(df: DataFrame, n: int, id: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
@@ -76,5 +78,5 @@ def sample_n(df: DataFrame, n: int, id: str = "id", seed: int = DEFAULT_SEED) ->
     if n <= TOP_K_ROWS:
         return df.orderBy(key).limit(n)
     whole = df.withColumn("__all", F.lit(0))
-    cutoffs = hash_cutoffs(whole, ["__all"], key, lambda total: [F.least(F.lit(n), total)])
+    cutoffs = hash_cutoffs(whole, ["__all"], key, lambda total: [F.least(F.lit(n), total)], df.count())
     return passed_cuts(whole, ["__all"], key, cutoffs).where(F.col("passed") == 0).drop("__all", "passed")
