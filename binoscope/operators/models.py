@@ -232,6 +232,8 @@ def fit(train: DataFrame, plan: ModelPlan, features: Features, statistics: Mappi
         return FittedModel(plan.name, PipelineModel([SQLTransformer(statement=f"SELECT *, {_sql_number(share)} AS p FROM __THIS__")]), [])
     if not (counts.get(0) and counts.get(1)):
         raise ValueError("Fitting needs both classes.")
+    if not features.columns:
+        raise ValueError("Fitting needs at least one feature.")
     try:
         statistics = statistics_of(rows, features) if statistics is None else statistics
         stages, names = feature_stages(features, statistics, plan.scale)
@@ -289,7 +291,7 @@ def oof_scores(folded: DataFrame, plans: Sequence[ModelPlan], features: Features
                 known[id(of(plan))] = statistics_by_fold(folded, of(plan), folds[-1] + 1)
 
         def one(plan: ModelPlan, fold: int):
-            statistics = None if plan.family == "prior" else known[id(of(plan))][fold]
+            statistics = None if plan.family == "prior" else known[id(of(plan))].get(fold, {})
             counts = {y: sum(n for (other, label), n in per_fold.items() if other != fold and label == y) for y in (0, 1)}
             model = fit(folded.where(F.col("fold") != fold), plan, of(plan), statistics, seed, counts)
             return model.score(folded.where(F.col("fold") == fold)).select(*keep, F.lit(plan.name).alias("model"), "p")
