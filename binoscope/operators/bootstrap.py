@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from binoscope.functions.hashing import hash_hex, hash_int, hash_uniform
 from binoscope.functions.scalars import count_where, same_keys, steps_reached
 from binoscope.operators.metrics import FOLD_METRICS, check_threshold, evaluate
-from binoscope.operators.order import hash_rank, split_points
+from binoscope.operators.order import hash_rank, local_if_small, split_points
 
 # Cumulative Poisson(1) probabilities; the last is 1 to double precision.
 POISSON_STEPS = 18
@@ -102,7 +102,8 @@ def subgroup_ci(scored: DataFrame, attributes: Sequence[str], threshold: float,
                  .unpivot(["id", "y", "flagged"], list(attributes), "attribute", "group").where(F.col("group").isNotNull())
     keys = ["attribute", "group", "y"]
     sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_class"), count_where(F.col("flagged")).alias("n_flagged"))
-    draws = same_keys(long.select("id", *keys), sizes, keys).withColumn("replicate", _replicates(n_boot))
+    # One row per group and class: the rows of a large group are not shuffled to meet their counts.
+    draws = same_keys(long.select("id", *keys), local_if_small(sizes), keys).withColumn("replicate", _replicates(n_boot))
     place = hash_int(seed, F.col("replicate"), F.col("attribute"), F.col("group"), F.col("y"), F.col("id"),
                      digits=15) % F.col("n_class")
     hits = draws.groupBy("attribute", "group", "replicate", "y").agg(

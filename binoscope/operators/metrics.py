@@ -186,7 +186,7 @@ def calibration_scores(scored: DataFrame, by: Sequence[str] = ("method",)) -> Da
 
 def calibration_report(scored: DataFrame, bins: int = 10, by: Sequence[str] = ("method",)) -> DataFrame:
     """Reliability bins with the scores of their method on every row."""
-    return same_keys(reliability(scored, bins, by), F.broadcast(calibration_scores(scored, by)), list(by))
+    return same_keys(reliability(scored, bins, by), calibration_scores(scored, by), list(by))
 
 
 def capacity(scored: DataFrame, fractions: Sequence[float] = (0.05, 0.10, 0.20), by: Sequence[str] = (),

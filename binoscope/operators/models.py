@@ -24,7 +24,7 @@ from binoscope.functions.scalars import melt
 from binoscope.operators.checks import normalize_missing
 from binoscope.operators.metrics import check_threshold, label_at
 from binoscope.operators.order import exact_quantiles
-from binoscope.operators.prepare import EMPTY_LEVEL, fit_statistics, modes_of, ratio_features
+from binoscope.operators.prepare import EMPTY_LEVEL, fit_statistics, modes_and_levels, ratio_features
 from binoscope.operators.split import stratified_folds
 from binoscope.session import materialize
 
@@ -160,9 +160,7 @@ def statistics_of(df: DataFrame, features: Features) -> dict[str, dict]:
         found["numeric"] = {c: (medians.get(c) or 0.0, filled[f"m_{i}"], filled[f"s_{i}"] or 1.0) for i, c in enumerate(numeric)}
     if features.categorical:
         cells = melt(ready, [], features.categorical, "string").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-        levels = cells.groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("levels"))
-        both = modes_of(cells, []).join(levels, "feature")
-        found["categorical"] = {r["feature"]: (r["mode"], r["levels"]) for r in both.collect()}
+        found["categorical"] = {r["feature"]: (r["mode"], r["levels"]) for r in modes_and_levels(cells, []).collect()}
     return found
 
 

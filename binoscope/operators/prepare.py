@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binoscope.functions.scalars import band_of, mean_of, melt, ratio, same_keys
-from binoscope.operators.order import exact_quantiles, split_points
+from binoscope.operators.order import exact_quantiles, local_if_small, split_points
 
 EMPTY_FILL = 0.0
 EMPTY_LEVEL = "missing_value"
@@ -29,13 +29,18 @@ def fit_median(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
 def fit_mode(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., feature, mode): most frequent value, the smallest on a tie; a column without values gets a constant."""
     cells = melt(df, by, columns, "string").groupBy(*by, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    return modes_of(cells, by)
+    return cells.groupBy(*by, "feature").agg(_most_frequent().alias("mode"))
 
 
-def modes_of(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+def _most_frequent() -> Column:
+    """Aggregate over (value, n) cells: the most frequent value, the smallest on a tie."""
     best = F.min(F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("k"), "value")))
-    return cells.groupBy(*by, "feature").agg(best.alias("best")).select(
-        *by, "feature", F.coalesce("best.value", F.lit(EMPTY_LEVEL)).alias("mode"))
+    return F.coalesce(best["value"], F.lit(EMPTY_LEVEL))
+
+
+def modes_and_levels(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by..., feature, mode, levels) from value counts; a categorical has a closed, short list of levels."""
+    return cells.groupBy(*by, "feature").agg(_most_frequent().alias("mode"), F.array_sort(F.collect_list("value")).alias("levels"))
 
 
 def fit_scale(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -96,36 +101,27 @@ def fit_statistics(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
             medians = exact_quantiles(outside(cells), keys, "value", half, "n", cuts)
         moments = long.groupBy(fold, "feature").agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n"),
                                                     F.avg("value").alias("mean"), F.var_pop("value").alias("var"))
-        parts = same_keys(outside(moments), medians, ["train_fold", "feature"], "left")
-        fill = F.coalesce("median", F.lit(EMPTY_FILL))
-        missing = F.col("n_rows") - F.col("n")
-        total = F.sum("n_rows")
-        # Mean of all training cells after filling, then the spread around it.
-        center = parts.groupBy("train_fold", "feature").agg(
-            F.max(fill).alias("median"), ((F.sum(F.col("n") * F.coalesce("mean", F.lit(0.0))) + F.sum(missing * fill)) / total).alias("m"))
-        spread = same_keys(parts.drop("median"), center, ["train_fold", "feature"])
-        off = F.coalesce("mean", F.lit(0.0)) - F.col("m")
-        square = F.sum(F.col("n") * (F.coalesce("var", F.lit(0.0)) + off * off)
-                       + missing * (F.col("median") - F.col("m")) * (F.col("median") - F.col("m"))) / total
-        scales = spread.groupBy("train_fold", "feature").agg(F.max("median").alias("median"), F.max("m").alias("mean"),
-                                                             F.sqrt(square).alias("sd"))
-        fitted["numeric"] = scales.select(F.col("train_fold").alias(fold), "feature", "median", "mean",
-                                          F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0).alias("scale"))
+        # Both tables have one row per fold and feature.
+        parts = same_keys(outside(local_if_small(moments)), local_if_small(medians), keys, "left")
+        # Moments around the fill: missing cells add nothing there, and it lies within one deviation of the mean.
+        fill, total = F.coalesce("median", F.lit(EMPTY_FILL)), F.sum("n_rows")
+        off = F.coalesce("mean", fill) - fill
+        around = parts.groupBy(*keys).agg(F.max(fill).alias("median"), (F.sum(F.col("n") * off) / total).alias("first"),
+                                          (F.sum(F.col("n") * (F.coalesce("var", F.lit(0.0)) + off * off)) / total).alias("second"))
+        spread = F.sqrt(F.greatest(F.col("second") - F.col("first") * F.col("first"), F.lit(0.0)))
+        fitted["numeric"] = around.select(F.col("train_fold").alias(fold), "feature", "median", (F.col("median") + F.col("first")).alias("mean"),
+                                          F.when(spread > 0, spread).otherwise(1.0).alias("scale"))
     if categorical:
         cells = melt(df, [fold], categorical, "string").groupBy(fold, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
         training = outside(cells).groupBy("train_fold", "feature", "value").agg(F.sum("n").alias("n"))
-        levels = training.groupBy("train_fold", "feature").agg(
-            F.array_sort(F.collect_list("value")).alias("levels"))
-        both = same_keys(modes_of(training, ["train_fold"]), levels, ["train_fold", "feature"])
-        fitted["categorical"] = both.withColumnRenamed("train_fold", fold)
+        fitted["categorical"] = modes_and_levels(training, ["train_fold"]).withColumnRenamed("train_fold", fold)
     return fitted
 
 
 def apply_fold_scaling(df: DataFrame, statistics: DataFrame, numeric: Sequence[str], keep: Sequence[str], fold: str = "fold") -> DataFrame:
     """Long (keep..., fold, feature, value): each row filled and scaled by the statistics of its own held-out fold."""
     long = melt(df, [*keep, fold], numeric)
-    # One row per fold and feature.
-    tagged = same_keys(long, F.broadcast(statistics), [fold, "feature"])
+    tagged = same_keys(long, local_if_small(statistics), [fold, "feature"])
     value = (F.coalesce("value", "median") - F.col("mean")) / F.col("scale")
     return tagged.select(*keep, fold, "feature", value.alias("value"))
 

@@ -233,7 +233,7 @@ def test_search_records_failures_and_refit_checks_the_record(spark, parts):
 def test_training_scoring_and_drift_runs(spark, sf_dir, tmp_path):
     spec = TableSpec(key="id", label="status", bounds={"acctbal": (-1000, None), "order_month": (1, 12)},
                      categories={"segment": B.CLS_SPEC.categories["segment"]}, labels={"open": 0, "done": 1})
-    raw = B.cls(spark, sf_dir).select("id", F.floor("acctbal").cast("double").alias("acctbal"), "order_month", "segment",
+    raw = B.cls(spark, sf_dir).select((F.col("id") + 1).alias("id"), F.floor("acctbal").cast("double").alias("acctbal"), "order_month", "segment",
                                       F.when(F.col("y") == 1, "done").otherwise("open").alias("status"))
     plans = [models.prior(), models.logistic(), models.logistic(balanced=True)]
     result = runs.training_run(raw, spec, str(tmp_path), "run-1", plans, attributes=["segment"], seeds=(42,), folds=2, n_boot=10, repeats=1)
