@@ -82,6 +82,13 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     if not keys:
         raise ValueError("A join needs at least one key.")
     renamed = right.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"__{k}"]) for k in keys])
+
+    def matches(key: str) -> Column:
+        # Where one side has no nulls, plain equality says the same and lets the join use an existing partitioning.
+        mine, theirs = left[key], renamed[f"__{key}"]
+        both_nullable = left.schema[key].nullable and renamed.schema[f"__{key}"].nullable
+        return mine.eqNullSafe(theirs) if both_nullable else mine == theirs
+
+    condition = reduce(lambda a, b: a & b, [matches(k) for k in keys])
     joined = left.join(renamed, condition, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__{k}" for k in keys])

@@ -63,7 +63,7 @@ def with_range(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
         return df.withColumn("value_range", F.lit(0))
     places = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="__v", outputCol="__r")
     placed = places.transform(df.withColumn("__v", F.col(value).cast("double")))
-    return placed.withColumn("value_range", F.col("__r").cast("int")).drop("__v", "__r")
+    return placed.withColumn("value_range", F.coalesce(F.col("__r").cast("int"), F.lit(-1))).drop("__v", "__r")
 
 
 def running_totals(cells: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], cuts: Sequence[float],

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from binoscope.operators import bootstrap, metrics
+from binoscope.operators.split import stratified_folds
+from binoscope.plans.bindings import labelled
 
 
 def brute(y, p):
@@ -163,7 +165,13 @@ def test_fold_summary_uses_the_population_deviation(spark):
     assert math.isclose(row["mean"], 0.3) and math.isclose(row["std"], 0.1)
 
 
-def test_plan_of_evaluation_has_no_single_task_window_when_large(spark, scored_of, small_ranges):
+def test_large_groups_are_ordered_in_ranges(scored_of, small_ranges, capsys):
     scored = scored_of([i % 2 for i in range(300)], [i / 300 for i in range(300)]).withColumn("m", F.lit("x"))
-    plan = metrics.score_curve(scored, ["m"])._jdf.queryExecution().toString()
-    assert "value_range" in plan
+    metrics.score_curve(scored, ["m"]).explain()
+    windows = [line for line in capsys.readouterr().out.splitlines() if "Window [" in line]
+    assert windows and any("value_range" in line for line in windows)
+
+
+def test_fold_assignment_shuffles_no_rows(spark, sf_dir, capsys):
+    stratified_folds(labelled(spark, sf_dir)).explain()
+    assert "Exchange" not in capsys.readouterr().out
