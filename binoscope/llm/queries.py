@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binoscope.llm import decontaminate, licenses, quality, urls
+from binoscope.llm import decontaminate, licenses, minhash, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,9 +46,9 @@ def license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_url_trie", """
     WITH parts AS (
-        SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages),
+        SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS place FROM pages),
     cut AS (
-        SELECT page_id, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM parts),
+        SELECT page_id, CASE WHEN place > 0 THEN substr(url, place + 3) ELSE '' END AS rest FROM parts),
     named AS (
         SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
@@ -61,3 +61,8 @@ def license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM found""")
 def url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query("op1_minhash_components")
+def minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
