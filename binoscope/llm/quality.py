@@ -56,31 +56,54 @@ def duplicate_lines(text: Column) -> Column:
     return let(lines, lambda own: F.size(own) - F.size(F.array_distinct(own))).cast("long")
 
 
-def repeated_words(words: Column) -> Column:
-    """Words inside three-word windows that occur twice or more in the text.
+def _window(words: Column, place: Column) -> Column:
+    return F.concat_ws(" ", F.get(words, place), F.get(words, place + 1), F.get(words, place + 2))
 
-    The windows are sorted with their places; equal neighbours give the repeated places, and each place, in order,
-    covers up to three words that the place before does not.
+
+def window_keys(words: Column) -> Column:
+    """array<long>: for each three-word window its hash, with the low bits replaced by its place.
+
+    Sorted, they bring equal windows together; hashes that agree by chance are told apart by `repeated_words`.
     """
-    def covered(places: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(1), F.size(places)), F.lit(0),
-                           lambda total, i: total + F.least(F.lit(3), F.coalesce(F.get(places, i) - F.get(places, i - 1), F.lit(3))))
+    def keys(part: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(words) - 3), lambda i: F.xxhash64(
+            F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).bitwiseAND(part).bitwiseOR(i.cast("long")))
+    return F.when(F.size(words) > 3, let(_hash_part(words), keys)).otherwise(F.array().cast("array<long>"))
+
+
+def _hash_part(words: Column) -> Column:
+    """All bits but those that a place in this text needs."""
+    return F.when(F.size(words) < 2 ** 16, F.lit(-(2 ** 16))).otherwise(F.lit(-(2 ** 31)))
+
+
+def repeated_words(words: Column, keys: Column) -> Column:
+    """Words inside three-word windows that occur twice or more in the text; keys: the sorted `window_keys`.
 
-    def equal_neighbours(windows: Column) -> Column:
+    Windows whose key has an equal neighbour are compared as texts. Each repeated place, in order, then covers up to
+    three words that the place before does not.
+    """
+    def alike(own: Column, part: Column) -> Column:
+        pairs = F.array_compact(F.zip_with(own, F.slice(own, 2, F.greatest(F.size(own), F.lit(1))),
+                                           lambda a, b: F.when(a.bitwiseAND(part) == b.bitwiseAND(part), F.array(a, b))))
+        return F.array_distinct(F.flatten(pairs))
+
+    def equal(windows: Column) -> Column:
         def one(i: Column) -> Column:
             own = F.get(windows, i)
             return F.when((own["w"] == F.get(windows, i - 1)["w"]) | (own["w"] == F.get(windows, i + 1)["w"]), own["i"])
         return F.array_compact(F.transform(F.sequence(F.lit(0), F.size(windows) - 1), one))
 
-    def windows(own: Column) -> Column:
-        return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(own) - 3), lambda i: F.struct(
-            F.concat_ws(" ", F.get(own, i), F.get(own, i + 1), F.get(own, i + 2)).alias("w"), i.alias("i"))))
+    def covered(places: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.size(places)), F.lit(0),
+                           lambda total, i: total + F.least(F.lit(3), F.coalesce(F.get(places, i) - F.get(places, i - 1), F.lit(3))))
 
-    def repeated(own: Column) -> Column:
-        places = let(windows(own), equal_neighbours)
-        return let(F.sort_array(places), lambda p: F.when(F.size(p) > 0, covered(p)).otherwise(F.lit(0)))
+    def count(close: Column) -> Column:
+        windows = F.sort_array(F.transform(close, lambda key: let(
+            key.bitwiseAND(F.bitwise_not(_hash_part(words))).cast("int"), lambda i: F.struct(_window(words, i).alias("w"), i.alias("i")))))
+        places = F.sort_array(let(windows, equal))
+        return let(places, lambda own: F.when(F.size(own) > 0, covered(own)).otherwise(F.lit(0)))
 
-    return let(words, lambda own: F.when(F.size(own) > 3, repeated(own)).otherwise(F.lit(0))).cast("long")
+    return let(let(_hash_part(words), lambda part: alike(keys, part)), lambda close: F.when(F.size(close) > 0, count(close)).otherwise(F.lit(0))).cast("long")
 
 
 def common_counts(words: Column) -> Column:
@@ -158,39 +181,46 @@ def fit_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> R
     return References(classes, words)
 
 
-def judge(text: Column, references: References) -> Column:
-    """A struct: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, both divergences, kept."""
+def judged(docs: DataFrame, references: References, name: str, text: str = "text") -> DataFrame:
+    """docs with a struct column `name`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    class_divergence, word_divergence (null without words), kept."""
     def verdict(words: Column, classes: Column, repeats: Column) -> Column:
         n = F.size(words)
         characters = F.aggregate(classes, F.lit(0), lambda a, c: a + c)
         failed = (n < LEAST_WORDS) | (100 * repeats > 50 * n)
-        by_class, by_word = references.class_divergence(classes), references.word_divergence(common_counts(words), n)
-        def close(c, w):
+        by_class, by_word = references.class_divergence(classes), F.when(n > 0, references.word_divergence(common_counts(words), n))
+
+        def close(c: Column, w: Column) -> Column:
             return (((characters < LEAST_CHARACTERS) | (c <= MOST_CLASS_DIVERGENCE))
                     & ((n < LEAST_COUNTED_WORDS) | (w <= MOST_WORD_DIVERGENCE)))
-        return let(by_class, lambda c: let(F.when(n > 0, by_word), lambda w: F.struct(
+        return let(by_class, lambda c: let(by_word, lambda w: F.struct(
             n.cast("long").alias("n_words"), (characters - classes[1]).cast("long").alias("word_chars"),
-            classes[2].cast("long").alias("n_symbols"), duplicate_lines(text).alias("n_dup_lines"),
+            classes[2].cast("long").alias("n_symbols"), duplicate_lines(F.col(f"`{text}`")).alias("n_dup_lines"),
             repeats.alias("n_repeat_words"), failed.alias("base_failed"), c.alias("class_divergence"),
             w.alias("word_divergence"), (~failed & close(c, w)).alias("kept"))))
-    return let(words_of(text), lambda words: let(class_lengths(text), lambda classes: let(
-        repeated_words(words), lambda repeats: verdict(words, classes, repeats))))
+
+    # The keys are sorted in a column of their own, where Spark compiles the sort of plain longs.
+    words, keys = free_name(docs, "words"), free_name(docs, "window_keys")
+    split = docs.withColumn(words, words_of(F.col(f"`{text}`")))
+    keyed = split.withColumn(keys, F.sort_array(window_keys(F.col(words))))
+    struct = let(class_lengths(F.col(f"`{text}`")), lambda classes: let(
+        repeated_words(F.col(words), F.col(keys)), lambda repeats: verdict(F.col(words), classes, repeats)))
+    return keyed.withColumn(name, struct).drop(words, keys)
 
 
 def quality(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per document: id and the fields of `judge`.
+    """One row per document: id and the fields of `judged`.
 
     Null, empty and blank texts have no words and fail the base rule. Repeated rows give repeated results, an empty
     table gives no rows, and columns other than id, text and lang are not read. `lang` only decides which reference a
     document adds to; a document is held against the nearest reference, whatever its `lang` says.
     """
     references = fit_references(docs, text, lang)
-    judged = docs.select(id, judge(F.col(text), references).alias("judged"))
-    return judged.select(id, "judged.*")
+    verdict = free_name(docs, "verdict")
+    return judged(docs.select(id, text), references, verdict, text).select(id, f"{verdict}.*")
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows whose documents pass the base rules and stay near a language; all columns as they are."""
     verdict = free_name(docs, "verdict")
-    judged = docs.withColumn(verdict, judge(F.col(f"`{text}`"), fit_references(docs, text, lang)))
-    return judged.where(F.col(verdict)["kept"]).drop(verdict)
+    return judged(docs, fit_references(docs, text, lang), verdict, text).where(F.col(verdict)["kept"]).drop(verdict)
