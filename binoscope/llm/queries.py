@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binoscope.llm import decontaminate, licenses, minhash, quality, urls
+from binoscope.llm import chat, decontaminate, language, licenses, minhash, packing, pii, quality, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -66,3 +66,60 @@ def url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_minhash_components")
 def minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_nnls_packing")
+def nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def fold(column: str, parts: int):
+    """crc32 of the id as text, modulo the parts; null for a null id."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(parts))
+
+
+@query("op9_counterfactual_toxicity")
+def counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold("doc_id", 3) != 1))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op3_segmentation_language")
+def segmentation_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(fold("doc_id", 4) != 2))
+    named = language.identify(docs, model)
+    return named.select("doc_id", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_pii_surrogates")
+def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, length=None, count="n_entities")
+
+
+@query("op4_perspective_rotation", """
+    WITH own AS (
+        SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text, CAST(floor(turn / 256) AS BIGINT) AS part FROM conversations),
+    people AS (SELECT DISTINCT conv_id, role AS perspective FROM own WHERE role <> 'system'),
+    convs AS (SELECT DISTINCT conv_id FROM own),
+    seen AS (SELECT convs.conv_id, perspective FROM convs LEFT JOIN people ON convs.conv_id IS NOT DISTINCT FROM people.conv_id),
+    pieces AS (
+        SELECT own.conv_id, part, turn, role, own.text AS raw, perspective, coalesce(role = perspective, false) AS mine,
+               '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
+                   ELSE 'user name=' || regexp_replace(coalesce(role, 'unknown'), '[\\r\\n<>|]+', ' ', 'g') END || chr(10) AS head,
+               replace(replace(own.text, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') || '<|im_end|>' AS body
+        FROM own JOIN seen ON own.conv_id IS NOT DISTINCT FROM seen.conv_id),
+    placed AS (
+        SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+            PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role NULLS FIRST, raw
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM pieces)
+    SELECT conv_id, perspective, part, count(*) AS n_turns, count(*) FILTER (WHERE mine) AS n_spoken,
+           string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, raw) AS text,
+           coalesce(string_agg(CAST(before + length(head) AS BIGINT)::VARCHAR || ':' || CAST(before + length(head) + length(body) AS BIGINT)::VARCHAR, ','
+                    ORDER BY turn NULLS FIRST, role NULLS FIRST, raw) FILTER (WHERE mine), '') AS loss_spans
+    FROM placed GROUP BY conv_id, perspective, part""")
+def perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
