@@ -205,7 +205,8 @@ def judged(docs: DataFrame, references: References, name: str, text: str = "text
     keyed = split.withColumn(keys, F.sort_array(window_keys(F.col(words))))
     struct = let(class_lengths(F.col(f"`{text}`")), lambda classes: let(
         repeated_words(F.col(words), F.col(keys)), lambda repeats: verdict(F.col(words), classes, repeats)))
-    return keyed.withColumn(name, struct).drop(words, keys)
+    # A generator with one row: filters on the verdict stay above it instead of repeating its whole expression below.
+    return keyed.select("*", F.explode(F.array(struct)).alias(name)).drop(words, keys)
 
 
 def quality(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
