@@ -139,7 +139,7 @@ class References:
         def to(share: list[float], p: Column) -> Column:
             return reduce(lambda a, b: a + b, [_divergence_term(p[k], F.lit(q)) for k, q in enumerate(share)])
         shares = let(F.greatest(total, F.lit(1.0)), lambda n: F.transform(counts, lambda c: c / n))
-        return let(shares, lambda p: F.least(*[to(s, p) for s in self.classes.values()], F.lit(1.0)))
+        return let(shares, lambda p: F.array_min(F.array(*[to(s, p) for s in self.classes.values()], F.lit(1.0))))
 
     def word_divergence(self, counts: Column, n_words: Column) -> Column:
         """From the nearest language; a common word that a text lacks adds half its share."""
@@ -155,7 +155,7 @@ class References:
             sums = F.aggregate(own, start, add)
             known = F.lit(float(sum(share.values())))
             return let(sums, lambda s: s["d"] + (known - s["q"]) / 2 + _divergence_term(F.greatest(1 - s["p"], F.lit(0.0)), 1 - known))
-        return let(counts, lambda own: F.least(*[to(s, own) for s in self.words.values()], F.lit(1.0)))
+        return let(counts, lambda own: F.array_min(F.array(*[to(s, own) for s in self.words.values()], F.lit(1.0))))
 
 
 def fit_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:

@@ -24,7 +24,7 @@ MOST_FEATURES = 20_000
 LEAST_DOCUMENTS = 8         # that a word of the model must occur in
 LEAST_STRENGTH = 3.0        # standard errors of its log odds ratio
 RIDGE = 0.3                 # relative to the loss summed over the sample
-COUNTERFACTUAL_WEIGHT = 5.0
+COUNTERFACTUAL_WEIGHT = 20.0
 STEPS = 300
 CUTOFF = 0.7
 BEGINNING = 6               # bytes
