@@ -64,10 +64,15 @@ def sigmoid(total) -> Column:
 
 
 def close_to(left, right, rtol: float, atol: float) -> Column:
-    """|a - b| <= atol + rtol*|b|, with two nulls or two NaN counted as equal."""
+    """|a - b| <= atol + rtol*|b| for finite numbers; two nulls, two NaN and the same infinity are equal too."""
     a, b = as_col(left).cast("double"), as_col(right).cast("double")
-    near = F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b)
-    return F.coalesce(near | a.eqNullSafe(b), F.lit(False))
+    near = finite(a) & finite(b) & (F.abs(a - b) <= F.lit(atol) + F.lit(rtol) * F.abs(b))
+    return F.coalesce(near, F.lit(False)) | a.eqNullSafe(b)
+
+
+def finite(number: Column) -> Column:
+    """Neither NaN nor an infinity; null stays null."""
+    return ~F.isnan(number) & (F.abs(number) != F.lit(float("inf")))
 
 
 def melt(df: DataFrame, keep: Sequence[str], columns: Sequence[str], kind: str = "double",

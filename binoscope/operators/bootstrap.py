@@ -21,8 +21,10 @@ def _replicates(n_boot: int) -> Column:
 
 
 def _check(n_boot: int, confidence: float) -> tuple[float, float]:
-    if n_boot < 1 or not 0 < confidence < 1:
-        raise ValueError("Use at least one replicate and a confidence level between 0 and 1.")
+    if n_boot < 1:
+        raise ValueError("A bootstrap without replicates has no interval.")
+    if not 0 < confidence < 1:
+        raise ValueError("The confidence is a share: above 0, below 1.")
     tail = (1 - confidence) / 2
     return tail, 1 - tail
 
@@ -34,7 +36,7 @@ def class_draws(scored: DataFrame, n_boot: int, seed: int) -> DataFrame:
     hash of (seed, replicate, class, place) modulo the class size. Draws and rows meet in an equi join on
     (class, place), whose keys are uniform.
     """
-    ranked = hash_rank(scored.select("id", "y", "p"), ["y"], hash_hex(seed, F.col("id")))
+    ranked = hash_rank(scored.select("id", "y", "p"), ["y"], hash_hex(seed, "bootstrap", F.col("id")))
     places = ranked.select("y", "place", "p")
     drawn = ranked.select("y", "place", "stratum_rows").withColumn("replicate", _replicates(n_boot))
     target = hash_int(seed, F.col("replicate"), F.col("y"), F.col("place"), digits=15) % F.col("stratum_rows") + 1
@@ -71,7 +73,7 @@ def bootstrap_ci(scored: DataFrame, threshold: float, n_boot: int = 1000, confid
         raise ValueError("method is 'draws' or 'poisson'.")
     classes = scored.agg(F.min("y").alias("low"), F.max("y").alias("high")).first()
     if (classes["low"], classes["high"]) != (0, 1):
-        raise ValueError("Bootstrap intervals need both classes.")
+        raise ValueError("Resampling by class needs rows of label 0 and of label 1.")
     # A replicate has about as many rows as the table, so the table's own value ranges fit every replicate.
     cuts = split_points(scored, "p")
     point = evaluate(scored, threshold, cuts=cuts)

@@ -106,12 +106,13 @@ def key_violations(df: DataFrame, key: str) -> DataFrame:
 
     One grouping by key: every copy of a key gives the same answer to the other rules, so they are summed there.
     """
-    value = F.col(key).cast("double")
+    # A key that is no number (a text, say) is a violation, not an error of the cast.
+    value = F.col(key).try_cast("double")
     groups = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     counted = groups.agg(
         F.sum(F.when(F.col(key).isNull(), F.col("n")).otherwise(0)).alias("key_null"),
         F.sum(F.when(value <= 0, F.col("n")).otherwise(0)).alias("key_positive"),
-        F.sum(F.when(value % 1 != 0, F.col("n")).otherwise(0)).alias("key_whole"),
+        F.sum(F.when((value % 1 != 0) | (value.isNull() & F.col(key).isNotNull()), F.col("n")).otherwise(0)).alias("key_whole"),
         F.sum(F.when(F.col(key).isNotNull(), F.col("n") - 1).otherwise(0)).alias("key_unique"))
     long = counted.unpivot([], ["key_null", "key_positive", "key_whole", "key_unique"], "rule", "n_bad")
     return long.select("rule", F.lit(key).alias("column"), F.coalesce("n_bad", F.lit(0)).cast("long").alias("n_bad"),
@@ -121,10 +122,9 @@ def key_violations(df: DataFrame, key: str) -> DataFrame:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """How many rows repeat an earlier one in every column, nulls equal: one row `duplicate_rows`.
 
-    Rows are grouped by a 128-bit hash of their cells, which keeps wide rows out of the shuffle.
+    Rows are grouped by their columns, so equal means what Spark calls equal (two NaN are).
     """
-    cell = [F.coalesce(F.to_json(F.struct(F.col(c).alias("v"))), F.lit("{}")) for c in df.columns]
-    return df.select(F.md5(F.concat_ws("|", *cell)).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")) \
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).select(F.col("__n").alias("n")) \
              .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 

@@ -55,7 +55,9 @@ def _categorical_cells(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
 
 def drift_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     """One row per feature: kind, cuts, shares by bin or category, missing rate, row count."""
-    cuts = decile_cuts(df, numeric)
+    if not numeric and not categorical:
+        raise ValueError("A profile needs at least one feature.")
+    cuts = decile_cuts(df, numeric) if numeric else df.sparkSession.createDataFrame([], "feature string, cuts array<double>")
     parts = []
     if numeric:
         parts.append(_numeric_cells(df, numeric, cuts).withColumn("kind", F.lit("numeric")))
@@ -73,7 +75,8 @@ def drift_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[s
     count_of = F.map_from_entries("counts")
     shares = F.transform(bins, lambda b: F.struct(b.alias("bin"), (F.coalesce(F.try_element_at(count_of, b), F.lit(0))
                                                                    / F.col("n_present")).alias("share")))
-    return joined.select("feature", "kind", "cuts", F.when(F.col("n_present") > 0, F.map_from_entries(shares)).alias("shares"),
+    return joined.select("feature", "kind", "cuts", # A category column without values has no shares but is known to be empty: later values are all unseen.
+                         F.when((F.col("n_present") > 0) | (F.col("kind") == "categorical"), F.map_from_entries(shares)).alias("shares"),
                          (1 - F.coalesce("n_present", F.lit(0)) / F.col("n_rows")).alias("missing_rate"), "n_rows")
 
 

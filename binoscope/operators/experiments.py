@@ -117,14 +117,14 @@ def _paired(folds: DataFrame, first: str, second: str, metrics: Sequence[str]) -
 
 
 def paired_differences(folds: DataFrame, first: str, second: str, metrics: Sequence[str] = tuple(FOLD_METRICS)) -> DataFrame:
-    """First minus second procedure on each outer fold, per metric; positive values favour the first."""
+    """Per metric, how the folds' differences (first arm less second arm) spread, and in how many folds either arm is ahead."""
     return _paired(folds, first, second, metrics).groupBy("metric").agg(
         F.avg("d").alias("mean"), F.stddev_pop("d").alias("std"), F.min("d").alias("min"), F.max("d").alias("max"),
         count_where(F.col("d") > 0).alias("first_higher_folds"), count_where(F.col("d") < 0).alias("second_higher_folds"))
 
 
 def selection_optimism(folds: DataFrame, procedure: str) -> DataFrame:
-    """How far the best trial's inner AP overstates the AP reached on the outer folds."""
+    """Mean inner AP of the chosen trials, mean outer AP, and their gap: what choosing by the inner score promises too much."""
     means = folds.where(F.col("procedure") == procedure).agg(F.avg("inner_cv_ap").alias("mean_inner_best_trial_cv_ap"),
                                                              F.avg("pr_auc").alias("mean_outer_ap"))
     return means.withColumn("difference", F.col("mean_inner_best_trial_cv_ap") - F.col("mean_outer_ap"))

@@ -4,55 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binoscope.functions.hashing import hash_hex
 from binoscope.functions.scalars import close_to, melt, same_keys, sigmoid
 from binoscope.operators.metrics import score_curve, _ap
+from binoscope.operators.order import hash_rank
 
 # Tolerance of the additivity check, number of listed contributions.
 ADD_RTOL, ADD_ATOL = 1e-5, 1e-6
 TOP_CONTRIBUTIONS = 10
-ROWS_PER_SHUFFLE = 100_000
 
 
-def permuted(df: DataFrame, columns: Sequence[str], repeats: int, seed: int, id: str = "id", hash_digits: int = 0) -> DataFrame:
+def permuted(df: DataFrame, columns: Sequence[str], repeats: int, seed: int, id: str = "id") -> DataFrame:
     """Rows keyed by (column, repeat) in which that column carries the value of another row.
 
-    Each repeat puts the rows in a fresh hash order and hands every row its predecessor's values, the first one
-    getting the last one's: an exact permutation. With `hash_digits` the order is cut into 16^digits random
-    buckets and the ring closes inside each, so a large table is never sorted as a whole. One window serves all
-    columns; the variants are spread out after it.
+    Each repeat ranks the rows in two unrelated hash orders; the row at a place of the first takes the values of the
+    row at that place of the second: an exact permutation at any size, without sorting the table. Only the permuted
+    values travel, and one join serves all columns.
     """
     rest = [c for c in df.columns if c not in columns]
     repeated = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)).cast("array<bigint>")))
-    ordered = repeated.withColumn("__h", hash_hex(seed, F.col("repeat"), F.col(id)))
-    bucket = F.substring("__h", 1, hash_digits) if hash_digits else F.lit("")
-    ordered = ordered.withColumn("__b", bucket)
-    ring = Window.partitionBy("repeat", "__b").orderBy("__h")
-    values = F.struct(*columns)
-    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    donor = F.coalesce(F.lag(values).over(ring), F.last(values).over(whole))
-    donated = ordered.withColumn("__d", donor)
+    takes = hash_rank(repeated, ["repeat"], hash_hex(seed, "takes", F.col("repeat"), F.col(id))).drop("stratum_rows")
+    gives = hash_rank(repeated.select(id, "repeat", *columns), ["repeat"], hash_hex(seed, "gives", F.col("repeat"), F.col(id)))
+    donated = takes.join(gives.select("repeat", "place", F.struct(*columns).alias("__d")), ["repeat", "place"])
     variants = F.array(*[F.struct(F.lit(c).alias("column"), *[(F.col("__d")[k] if k == c else F.col(k)).alias(k) for k in columns])
                          for c in columns])
     return donated.select(*rest, "repeat", F.explode(variants).alias("v")).select(*rest, "repeat", "v.*")
 
 
 def permutation_importance(df: DataFrame, score: Callable[[DataFrame], DataFrame], columns: Sequence[str], repeats: int = 10,
-                           seed: int = 42, id: str = "id", hash_digits: int | None = None) -> DataFrame:
+                           seed: int = 42, id: str = "id") -> DataFrame:
     """AP lost when a column is permuted: mean and population SD over the repeats, per column.
 
     `score` adds p to a table and keeps the other columns. All (column, repeat) variants are scored in one pass
     and evaluated in one grouping.
     """
-    if hash_digits is None:
-        hash_digits, buckets = 0, df.count() // ROWS_PER_SHUFFLE
-        while buckets > 1 and 16 ** hash_digits < buckets:
-            hash_digits += 1
     base = score_curve(score(df)).groupBy().agg(_ap().alias("base_ap"))
-    shuffled = score_curve(score(permuted(df, columns, repeats, seed, id, hash_digits)), ["column", "repeat"]) \
+    shuffled = score_curve(score(permuted(df, columns, repeats, seed, id)), ["column", "repeat"]) \
         .groupBy("column", "repeat").agg(_ap().alias("ap"))
     # base is a single row.
     drops = shuffled.join(F.broadcast(base), F.lit(True)).withColumn("drop", F.col("base_ap") - F.col("ap"))

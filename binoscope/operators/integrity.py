@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from binoscope.functions.scalars import close_to, count_where, same_keys
+from binoscope.functions.scalars import close_to, count_where, finite, same_keys
 from binoscope.operators.metrics import evaluate
 
 # Comparison tolerances of regenerated results.
@@ -98,7 +98,8 @@ def record_diff(old: DataFrame, new: DataFrame, id: str, ignore: Sequence[str] =
     both = left.join(right, [left[id].eqNullSafe(right["__id"]), left["path"] == right["__path"]], "full_outer")
     numbers = F.col("o_type").isin("number", "length") & (F.col("o_type") == F.col("n_type"))
     larger = F.greatest(F.abs("o_number"), F.abs("n_number"))
-    near = (F.col("o_number") == F.col("n_number")) | (F.abs(F.col("o_number") - F.col("n_number")) <= F.greatest(F.lit(rtol) * larger, F.lit(atol)))
+    within = F.abs(F.col("o_number") - F.col("n_number")) <= F.greatest(F.lit(rtol) * larger, F.lit(atol))
+    near = (F.col("o_number") == F.col("n_number")) | (finite(F.col("o_number")) & finite(F.col("n_number")) & within)
     same = F.when(numbers, near).otherwise((F.col("o_type") == F.col("n_type")) & F.col("old").eqNullSafe(F.col("new")))
     problem = F.when(F.col("n_type").isNull(), "missing").when(F.col("o_type").isNull(), "unexpected") \
                .when(F.col("o_type") != F.col("n_type"), "type differs").when(~same, "value differs")
@@ -118,17 +119,21 @@ def set_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def cell_text(column: str, kind: T.DataType) -> Column:
-    """One cell as unambiguous text: null is marked, so it differs from any value."""
+    """One cell as text behind its length, so that cells in a row cannot run into each other; null is a mark of its own."""
     text = F.col(column).cast("string") if isinstance(kind, T.AtomicType) else F.to_json(F.struct(F.col(column).alias("v")))
-    return F.coalesce(F.concat(F.lit("="), text), F.lit("~"))
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit("="), text), F.lit("~"))
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """(n_rows, digest, schema_digest): changes with any value, id, label or column, not with the row order."""
+    """(n_rows, digest, schema_digest): changes with any value, id, label or column, not with the row order.
+
+    The digest holds the sums of the four 32-bit parts of the rows' md5.
+    """
     cells = [cell_text(f.name, f.dataType) for f in df.schema.fields]
-    row = F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("long")
+    row = F.md5(F.concat_ws("|", *cells))
+    sums = [F.coalesce(F.sum(F.conv(F.substring(row, at, 8), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("string") for at in (1, 9, 17, 25)]
     columns = "|".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(row), F.lit(0)).alias("digest")) \
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", *sums).alias("digest")) \
              .withColumn("schema_digest", F.md5(F.lit(columns)))
 
 

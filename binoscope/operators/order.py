@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from binoscope.functions.scalars import same_keys
 from binoscope.session import rows_per_bucket
@@ -37,6 +38,14 @@ def local_if_small(df: DataFrame, limit: int = LOCAL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= limit else df
 
 
+def range_key(df: DataFrame, value: str) -> Column:
+    """A double that never falls where the value rises: numbers themselves, and the first six bytes of a text."""
+    if isinstance(df.schema[value].dataType, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(value, "UTF-8"), 1, 6)), 12, "0")
+        return F.when(F.col(value).isNotNull(), F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(0.0)))
+    return F.col(value).cast("double")
+
+
 def split_points(df: DataFrame, value: str) -> list[float]:
     """Cut values after which no range holds many more than the allowed rows; none for a small table.
 
@@ -49,7 +58,7 @@ def split_points(df: DataFrame, value: str) -> list[float]:
     if needed <= 1:
         return []
     ranges = min(max(needed, LEAST_RANGES), MOST_RANGES)
-    sample = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    sample = df.select(range_key(df, value).alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     share = ranges * SAMPLE_PER_RANGE / rows
     sample = sample.sample(share, seed=1) if share < 1 else sample
     probabilities = [i / ranges for i in range(1, ranges)]
@@ -61,9 +70,11 @@ def with_range(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
     """Add `value_range`, the number of the value range a row belongs to."""
     if not cuts:
         return df.withColumn("value_range", F.lit(0))
-    places = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="__v", outputCol="__r")
-    placed = places.transform(df.withColumn("__v", F.col(value).cast("double")))
-    return placed.withColumn("value_range", F.coalesce(F.col("__r").cast("int"), F.lit(-1))).drop("__v", "__r")
+    places = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="__v", outputCol="__r", handleInvalid="keep")
+    # NaN goes to a range of its own behind the last one, as it sorts.
+    placed = places.transform(df.withColumn("__v", range_key(df, value)))
+    # "keep" also sends a null behind the last range; nulls sort first.
+    return placed.withColumn("value_range", F.when(F.col("__v").isNull(), -1).otherwise(F.col("__r").cast("int"))).drop("__v", "__r")
 
 
 def running_totals(cells: DataFrame, by: Sequence[str], value: str, sums: Sequence[str], cuts: Sequence[float],

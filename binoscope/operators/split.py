@@ -15,8 +15,6 @@ from binoscope.functions.hashing import hash_hex
 from binoscope.operators.order import hash_cutoffs, passed_cuts
 
 DEFAULT_SEED, HOLDOUT_SHARE, FOLDS = 42, 0.2, 5
-# A sample up to this size is one top-k; a larger one is selected by cutoff and stays distributed.
-TOP_K_ROWS = 10_000
 
 
 def stratified_split(df: DataFrame, id: str = "id", y: str = "y", share: float = HOLDOUT_SHARE,
@@ -24,7 +22,7 @@ def stratified_split(df: DataFrame, id: str = "id", y: str = "y", share: float =
     """Add `partition`: of each class, the first round(share * n) rows in hash order are 'test'."""
     if not 0 < share < 1:
         raise ValueError("The holdout share must lie between 0 and 1.")
-    key = hash_hex(seed, F.col(id))
+    key = hash_hex(seed, "split", F.col(id))
     cutoffs = hash_cutoffs(df, [y], key, lambda total: [F.floor(F.lit(share) * total + 0.5)], df.count())
     return passed_cuts(df, [y], key, cutoffs).withColumn(
         "partition", F.when(F.col("passed") == 0, "test").otherwise("train")).drop("passed")
@@ -41,15 +39,16 @@ def _fold_ranks(k: int):
 
 
 def stratified_folds(df: DataFrame, id: str = "id", y: str = "y", k: int = FOLDS, seed: int | Column = DEFAULT_SEED,
-                     within: Sequence[str] = (), name: str = "fold", rows: int | None = None) -> DataFrame:
+                     within: Sequence[str] = (), name: str = "fold", rows: int | None = None, purpose: str = "folds") -> DataFrame:
     """Add a fold number 0..k-1; inside each class (and `within` group) fold sizes differ by at most one.
 
-    Folds are consecutive stretches of the hash order. `seed` may be a column, for several seeds in one pass.
+    Folds are consecutive stretches of the hash order. `seed` may be a column, for several seeds in one pass; `purpose`
+    enters the hash, so that folds inside folds, samples and splits under one seed are independent of each other.
     `rows` saves counting a table whose size is known.
     """
     if k < 2:
         raise ValueError("At least two folds are needed.")
-    strata, key = [*within, y], hash_hex(seed, F.col(id))
+    strata, key = [*within, y], hash_hex(seed, purpose, F.col(id))
     cutoffs = hash_cutoffs(df, strata, key, _fold_ranks(k), df.count() if rows is None else rows)
     return passed_cuts(df, strata, key, cutoffs).withColumnRenamed("passed", name)
 
@@ -61,7 +60,7 @@ def nested_folds(df: DataFrame, id: str = "id", y: str = "y", outer: int = FOLDS
     held_out = stratified_folds(df, id, y, outer, seed, name="own_fold", rows=rows)
     training = held_out.withColumn("outer_fold", F.explode(F.sequence(F.lit(0), F.lit(outer - 1)).cast("array<bigint>"))) \
                        .where(F.col("outer_fold") != F.col("own_fold"))
-    return stratified_folds(training, id, y, inner, f"{seed}|inner", ["outer_fold"], "inner_fold", rows).drop("own_fold")
+    return stratified_folds(training, id, y, inner, seed, ["outer_fold"], "inner_fold", rows, "inner").drop("own_fold")
 
 
 def seeded_folds(df: DataFrame, seeds: Sequence[int], id: str = "id", y: str = "y", k: int = FOLDS) -> DataFrame:
@@ -71,12 +70,14 @@ def seeded_folds(df: DataFrame, seeds: Sequence[int], id: str = "id", y: str = "
 
 
 def sample_n(df: DataFrame, n: int, id: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
-    """At most n rows: the first n in hash order."""
+    """At most n rows: the first n in hash order; of rows that share the last id, as many as still fit."""
     if n < 1:
         raise ValueError("A sample needs at least one row.")
-    key = hash_hex(seed, F.col(id))
-    if n <= TOP_K_ROWS:
-        return df.orderBy(key).limit(n)
+    key = hash_hex(seed, "sample", F.coalesce(F.col(id).cast("string"), F.lit("")))
     whole = df.withColumn("__all", F.lit(0))
-    cutoffs = hash_cutoffs(whole, ["__all"], key, lambda total: [F.least(F.lit(n), total)], df.count())
-    return passed_cuts(whole, ["__all"], key, cutoffs).where(F.col("passed") == 0).drop("__all", "passed")
+    found = hash_cutoffs(whole, ["__all"], key, lambda total: [F.least(F.lit(n), total)], df.count()).first()
+    if found is None:
+        return df
+    cut = F.lit(found["cuts"][0])
+    below = df.where(key < cut)
+    return below.unionByName(df.where(key == cut).limit(n - below.count()))

@@ -238,7 +238,7 @@ def _bootstrap_sql(replicas: str, point: str = "point") -> str:
       FROM {replicas} r, {point} e""" for m in S.FOLD_METRICS) + ")"
 
 
-@register("G15_bootstrap_ci", f"""WITH {S.SCORED}, ranked AS (SELECT y, p, row_number() OVER (PARTITION BY y ORDER BY {S.hex_of('42', 'id')}) AS place,
+@register("G15_bootstrap_ci", f"""WITH {S.SCORED}, ranked AS (SELECT y, p, row_number() OVER (PARTITION BY y ORDER BY {S.hex_of('42', "'bootstrap'", 'id')}) AS place,
   count(*) OVER (PARTITION BY y) AS n_class FROM scored),
   draws AS (SELECT replicate, y, {S.int_of('42', 'replicate', 'y', 'place', digits=15)} % n_class + 1 AS place
     FROM ranked, (SELECT range AS replicate FROM range({N_BOOT}))),

@@ -214,18 +214,15 @@ def _formula(df):
     return df.withColumn("p", F.col("signal") * 0.9 + F.col("order_month") / F.lit(120.0))
 
 
-RING = "PARTITION BY repeat, substr(h, 1, 1) ORDER BY h"
 FORMULA_SQL = "signal * 0.9::DOUBLE + order_month / 120.0::DOUBLE"
 
 
-def _donated(column: str) -> str:
-    return (f"coalesce(lag({column}) OVER (ring), last_value({column}) OVER (ring ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) "
-            f"AS d_{column}")
-
-
 @register("I3_permutation_importance", f"""WITH {S.CLS}, base_rows AS (SELECT id, y, order_month, order_year, {S.score_of()} AS signal FROM cls),
-  rings AS (SELECT *, {S.hex_of('42', 'repeat', 'id')} AS h FROM base_rows, (SELECT range AS repeat FROM range(3))),
-  donors AS (SELECT *, {_donated('signal')}, {_donated('order_month')}, {_donated('order_year')} FROM rings WINDOW ring AS ({RING})),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY repeat ORDER BY {S.hex_of('42', "'takes'", 'repeat', 'id')}) AS takes,
+    row_number() OVER (PARTITION BY repeat ORDER BY {S.hex_of('42', "'gives'", 'repeat', 'id')}) AS gives
+    FROM base_rows, (SELECT range AS repeat FROM range(10))),
+  donors AS (SELECT a.*, b.signal AS d_signal, b.order_month AS d_order_month, b.order_year AS d_order_year
+    FROM placed a JOIN placed b ON a.repeat = b.repeat AND a.takes = b.gives),
   variants AS (SELECT y, repeat, 'signal' AS "column", {FORMULA_SQL.replace('signal', 'd_signal')} AS p FROM donors
     UNION ALL SELECT y, repeat, 'order_month', {FORMULA_SQL.replace('order_month', 'd_order_month')} FROM donors
     UNION ALL SELECT y, repeat, 'order_year', {FORMULA_SQL} FROM donors),
@@ -235,11 +232,11 @@ def _donated(column: str) -> str:
     round(stddev_pop(b.pr_auc - s.pr_auc), 6) + 0.0 AS std_ap_decrease FROM shuffled s, base b GROUP BY "column" """)
 def permutation_importance(spark, sf_dir):
     rows = B.with_score(B.cls(spark, sf_dir), name="signal").select("id", "y", "signal", "order_month", "order_year")
-    return rounded(explain.permutation_importance(rows, _formula, ["signal", "order_month", "order_year"], repeats=3, hash_digits=1))
+    return rounded(explain.permutation_importance(rows, _formula, ["signal", "order_month", "order_year"]))
 
 
 COEFFICIENTS = {"totalprice": 1e-5, "acctbal": -1e-4, "order_year": 0.1, "order_month": 0.05}
-CONTRIBUTIONS = f"""{S.CLS}, background AS (SELECT * FROM cls ORDER BY {S.hex_of('42', 'id')} LIMIT 100),
+CONTRIBUTIONS = f"""{S.CLS}, background AS (SELECT * FROM cls ORDER BY {S.hex_of('42', "'sample'", 'id')} LIMIT 100),
   means AS (SELECT {', '.join(f'avg({c}) AS {c}_m' for c in COEFFICIENTS)} FROM background),
   contributions AS (""" + " UNION ALL ".join(
     f"SELECT id, '{c}' AS feature, ({c} - {c}_m) * CAST('{b!r}' AS DOUBLE) AS contribution FROM cls, means" for c, b in COEFFICIENTS.items()) + ")"
@@ -466,14 +463,16 @@ def set_diff(spark, sf_dir):
     return integrity.set_diff(older, newer, "id")
 
 
-PRINTED = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_orderpriority": "string"}
+PRINTED = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz",
+           "o_orderpriority": "string"}
 
 
-@register("K4_fingerprint", "WITH cells AS (SELECT " + " || '|' || ".join(f"coalesce('=' || CAST({c} AS VARCHAR), '~')" for c in PRINTED)
-          + " AS t FROM orders) SELECT count(*) AS n_rows, CAST(sum(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT)) AS BIGINT) AS digest, "
-          + "md5('" + "|".join(f"{c}:{t}" for c, t in PRINTED.items()) + "') AS schema_digest FROM cells")
+@register("K4_fingerprint", "WITH cells AS (SELECT md5(" + " || '|' || ".join(
+    f"coalesce(length(CAST({c} AS VARCHAR)) || '=' || CAST({c} AS VARCHAR), '~')" for c in PRINTED) + ") AS h FROM orders) SELECT count(*) AS n_rows, "
+    + " || '-' || ".join(f"coalesce(CAST(sum(CAST('0x' || substr(h, {at}, 8) AS BIGINT)) AS VARCHAR), '0')" for at in (1, 9, 17, 25)) + " AS digest, "
+    + "md5('" + "|".join(f"{c}:{t}" for c, t in PRINTED.items()) + "') AS schema_digest FROM cells")
 def fingerprint(spark, sf_dir):
-    return integrity.fingerprint(load(spark, sf_dir, "orders").select(*PRINTED))
+    return integrity.fingerprint(load(spark, sf_dir, "orders"))
 
 
 @register("K5_coverage_check", f"""WITH {S.LABELLED}, folds AS (SELECT id, {S.fold_of()} AS fold FROM labelled),

@@ -45,8 +45,8 @@ def json_source(spark, sf_dir):
     events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     # Documents of at most 1,000 unique ids each, one per line.
     documents = events.groupBy(F.floor(F.col("event_id") / 1000).alias("part")).agg(
-        F.collect_list(F.struct("event_id", "user_id", "event_type", "value")).alias("employees"))
-    documents.select(F.to_json(F.struct("employees"))).write.text(path)
+        F.collect_list(F.struct("event_id", "user_id", "event_type", "value")).alias("records"))
+    documents.select(F.to_json(F.struct("records"))).write.text(path)
     back = read_records(spark, path, schema=events.schema, whole_file=False)
     return rounded(back.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"),
                                                   F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id"),
@@ -165,10 +165,11 @@ def key_violations(spark, sf_dir):
     return checks.key_violations(load(spark, sf_dir, "lineitem"), "l_orderkey").select("rule", "column", "n_bad")
 
 
-@register("B7_duplicate_rows", """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows FROM (
-  SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber, l_returnflag)""")
+@register("B7_duplicate_rows", """WITH doubled AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 2)
+  SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM doubled)) AS duplicate_rows FROM doubled""")
 def duplicate_rows(spark, sf_dir):
-    return checks.duplicate_rows(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag"))
+    lines = load(spark, sf_dir, "lineitem")
+    return checks.duplicate_rows(lines.unionByName(lines.where("l_linenumber = 2")))
 
 
 @register("B8_constant_check", " UNION ALL ".join([
@@ -239,11 +240,11 @@ def audit(spark, sf_dir):
     return profile.audit(B.cls_nulls(spark, sf_dir))
 
 
-@register("C1_audit_summary", """SELECT count(*) AS n_rows, 3 AS n_columns,
-  (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_returnflag)) AS duplicate_rows,
+@register("C1_audit_summary", """SELECT count(*) AS n_rows, (SELECT count(*) + 1 FROM (DESCRIBE lineitem)) AS n_columns,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicate_rows,
   0 AS n_missing, 'always' AS constant_columns FROM lineitem""")
 def audit_summary(spark, sf_dir):
-    return profile.audit_summary(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", F.lit("x").alias("always")))
+    return profile.audit_summary(load(spark, sf_dir, "lineitem").withColumn("always", F.lit("x")))
 
 
 def _describe(column: str, source: str, digits: int = 4) -> str:
@@ -336,7 +337,7 @@ def top_rows(spark, sf_dir):
 
 # ---- splits and samples
 
-SPLIT = f"""split AS (SELECT id, y, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY {S.hex_of('42', 'id')})
+SPLIT = f"""split AS (SELECT id, y, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY {S.hex_of('42', "'split'", 'id')})
   <= floor(CAST(0.2 AS DOUBLE) * count(*) OVER (PARTITION BY y) + CAST(0.5 AS DOUBLE)) THEN 'test' ELSE 'train' END AS partition FROM labelled)"""
 
 
@@ -357,18 +358,18 @@ def stratified_folds(spark, sf_dir):
 
 @register("D4_nested_folds", f"""WITH {S.LABELLED}, own AS (SELECT id, y, {S.fold_of()} AS own_fold FROM labelled),
   training AS (SELECT id, y, outer_fold FROM own, (SELECT range AS outer_fold FROM range(5)) WHERE outer_fold <> own_fold)
-  SELECT id, CAST(y AS BIGINT) AS y, outer_fold, {S.fold_of(3, "'42|inner'", ['outer_fold'])} AS inner_fold FROM training""")
+  SELECT id, CAST(y AS BIGINT) AS y, outer_fold, {S.fold_of(3, '42', ['outer_fold'], purpose='inner')} AS inner_fold FROM training""")
 def nested_folds(spark, sf_dir):
     return rounded(split.nested_folds(B.labelled(spark, sf_dir), inner=3))
 
 
-@register("D5_sample_n", f"WITH {S.LABELLED} SELECT id, CAST(y AS BIGINT) AS y FROM labelled ORDER BY {S.hex_of('42', 'id')} LIMIT 100")
+@register("D5_sample_n", f"WITH {S.LABELLED} SELECT id, CAST(y AS BIGINT) AS y FROM labelled ORDER BY {S.hex_of('42', "'sample'", 'id')} LIMIT 100")
 def sample_n(spark, sf_dir):
     return rounded(split.sample_n(B.labelled(spark, sf_dir), 100))
 
 
 @register("D5_sample_large", f"SELECT l_orderkey, l_linenumber, k FROM (SELECT l_orderkey, l_linenumber, k, row_number() OVER (ORDER BY "
-          f"{S.hex_of('42', 'k')}) AS place FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS k FROM lineitem)) "
+          f"{S.hex_of('42', "'sample'", 'k')}) AS place FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS k FROM lineitem)) "
           "WHERE place <= 12000")
 def sample_large(spark, sf_dir):
     keyed = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"))

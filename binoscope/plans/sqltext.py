@@ -55,10 +55,10 @@ def group_by(*columns: str) -> str:
     return f" GROUP BY {', '.join(columns)}" if columns else ""
 
 
-def fold_of(k: int = 5, seed: str = "42", by: Sequence[str] = (), row_id: str = "id") -> str:
+def fold_of(k: int = 5, seed: str = "42", by: Sequence[str] = (), row_id: str = "id", purpose: str = "folds") -> str:
     """Fold number in hash order inside each class."""
     keys = [*by, "y"]
-    return (f"CAST(((row_number() {over(keys, hex_of(seed, row_id))} - 1) * {k}) // count(*) {over(keys)} AS BIGINT)")
+    return (f"CAST(((row_number() {over(keys, hex_of(seed, repr(purpose), row_id))} - 1) * {k}) // count(*) {over(keys)} AS BIGINT)")
 
 
 def curve(source: str, by: Sequence[str] = (), name: str = "curve", weight: str = "1") -> str:

@@ -20,7 +20,7 @@ class NonFiniteValue(ValueError):
 
 def check_run_id(run_id: str) -> str:
     if re.fullmatch(RUN_ID, run_id) is None or run_id.endswith("."):
-        raise ValueError("A run id is 1-64 letters, digits, dots, underscores or hyphens and starts with a letter or digit.")
+        raise ValueError(f"{run_id!r} cannot name a run: it must match {RUN_ID} and not end in a dot.")
     return run_id
 
 

@@ -180,9 +180,9 @@ def test_csv_errors_are_told_apart(spark, tmp_path):
 def test_json_records_in_three_shapes(spark, tmp_path, document, n):
     path = tmp_path / "records.json"
     path.write_text(json.dumps(document, indent=1))
-    rows = tables.read_records(spark, str(path))
+    rows = tables.read_records(spark, str(path), envelope="employees")
     assert rows.columns == ["a"] and rows.count() == n
-    assert tables.read_records(spark, str(path), schema=rows.schema).count() == n
+    assert tables.read_records(spark, str(path), envelope="employees", schema=rows.schema).count() == n
 
 
 def test_strict_json_refuses_non_finite_numbers_at_any_depth(spark, tmp_path):
