@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binoscope.functions.hashing import hash_hex, hash_int, hash_uniform
 from binoscope.functions.scalars import count_where, same_keys, steps_reached
-from binoscope.operators.metrics import FOLD_METRICS, check_threshold, evaluate
+from binoscope.operators.metrics import FOLD_METRICS, check_threshold, evaluate, refusing
 from binoscope.operators.order import hash_rank, local_if_small, split_points
 
 # Cumulative Poisson(1) probabilities; the last is 1 to double precision.
@@ -90,26 +92,45 @@ def bootstrap_ci(scored: DataFrame, threshold: float, n_boot: int = 1000, confid
         F.lit(n_boot).cast("long").alias("replicates"), F.lit(float(threshold)).alias("threshold"))
 
 
+def _counted_hits(sizes: DataFrame, n_boot: int, seed: int) -> DataFrame:
+    """(attribute, group, replicate, y, hits, n): one binomial number of flagged draws per group, class and replicate."""
+    @F.pandas_udf("array<long>")
+    def draw(key: pd.Series, size: pd.Series, hit: pd.Series) -> pd.Series:
+        return pd.Series([np.random.Generator(np.random.PCG64(int(k, 16))).binomial(int(n), h / n, n_boot)
+                          for k, n, h in zip(key, size, hit)])
+
+    key = hash_hex(seed, "subgroups", F.col("attribute"), F.col("group"), F.col("y"))
+    # The few counted rows are spread before each becomes n_boot rows.
+    drawn = sizes.repartition("attribute", "group").withColumn("all", draw(key, "n_class", "n_flagged"))
+    return drawn.select("attribute", "group", "y", F.col("n_class").alias("n"), F.posexplode("all").alias("replicate", "hits"))
+
+
 def subgroup_ci(scored: DataFrame, attributes: Sequence[str], threshold: float, n_boot: int = 1000, confidence: float = 0.95,
-                seed: int = 42) -> DataFrame:
+                seed: int = 42, method: str = "counts") -> DataFrame:
     """Intervals of recall, false-positive rate and selection rate per group, resampled inside (group, class).
 
-    A rate only needs how many drawn rows are flagged. With the flagged rows first, a draw is flagged when its
-    hash modulo the class size falls below the flagged count, so no row has to be looked up.
+    A rate only needs how many drawn rows are flagged, a binomial number: `method` "counts" draws it from the counted
+    groups, whatever their size. "draws" makes every single draw instead: with the flagged rows first, a draw is flagged
+    when its hash modulo the class size falls below the flagged count, so no row has to be looked up.
     """
     check_threshold(threshold)
+    if method not in ("counts", "draws"):
+        raise ValueError("method is 'counts' or 'draws'.")
     low, high = _check(n_boot, confidence)
     flagged = F.col("p") >= threshold
-    long = scored.select("id", "y", flagged.alias("flagged"), *[F.col(a).cast("string").alias(a) for a in attributes]) \
+    long = refusing(scored).select("id", "y", flagged.alias("flagged"), *[F.col(a).cast("string").alias(a) for a in attributes]) \
                  .unpivot(["id", "y", "flagged"], list(attributes), "attribute", "group").where(F.col("group").isNotNull())
     keys = ["attribute", "group", "y"]
     sizes = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_class"), count_where(F.col("flagged")).alias("n_flagged"))
-    # One row per group and class: the rows of a large group are not shuffled to meet their counts.
-    draws = same_keys(long.select("id", *keys), local_if_small(sizes), keys).withColumn("replicate", _replicates(n_boot))
-    place = hash_int(seed, F.col("replicate"), F.col("attribute"), F.col("group"), F.col("y"), F.col("id"),
-                     digits=15) % F.col("n_class")
-    hits = draws.groupBy("attribute", "group", "replicate", "y").agg(
-        count_where(place < F.col("n_flagged")).alias("hits"), F.count(F.lit(1)).alias("n"))
+    if method == "counts":
+        hits = _counted_hits(sizes, n_boot, seed)
+    else:
+        # One row per group and class: the rows of a large group are not shuffled to meet their counts.
+        draws = same_keys(long.select("id", *keys), local_if_small(sizes), keys).withColumn("replicate", _replicates(n_boot))
+        place = hash_int(seed, F.col("replicate"), F.col("attribute"), F.col("group"), F.col("y"), F.col("id"),
+                         digits=15) % F.col("n_class")
+        hits = draws.groupBy("attribute", "group", "replicate", "y").agg(
+            count_where(place < F.col("n_flagged")).alias("hits"), F.count(F.lit(1)).alias("n"))
     rates = hits.groupBy("attribute", "group", "replicate").agg(
         F.sum(F.when(F.col("y") == 1, F.col("hits") / F.col("n"))).alias("recall"),
         F.sum(F.when(F.col("y") == 0, F.col("hits") / F.col("n"))).alias("false_positive_rate"),

@@ -132,16 +132,15 @@ def selection_optimism(folds: DataFrame, procedure: str) -> DataFrame:
 
 def compare_procedures(folds: DataFrame, arms: Sequence[str], metrics: Sequence[str] = tuple(FOLD_METRICS)) -> DataFrame:
     """One wide row per metric: mean and SD of every arm and the mean paired difference of every pair."""
-    stats = fold_summary(folds.where(F.col("procedure").isin(*arms)), ["procedure"], metrics)
-
-    def of(arm: str, column: str) -> Column:
-        return F.max(F.when(F.col("procedure") == arm, F.col(column)))
-    wide = stats.groupBy("metric").agg(*[of(a, s).alias(f"{a}_{s}") for a in arms for s in ("mean", "std")])
-    for i, a in enumerate(arms):
-        for b in arms[i + 1:]:
-            pair = _paired(folds, a, b, metrics).groupBy("metric").agg(F.avg("d").alias(f"{a}_minus_{b}"))
-            wide = same_keys(wide, pair, ["metric"])
-    return wide
+    long = folds.where(F.col("procedure").isin(*arms)).select(
+        "procedure", "outer_fold", *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(
+        ["procedure", "outer_fold"], list(metrics), "metric", "value")
+    # The arms become columns of a (metric, fold) row; every mean and difference then comes from one more grouping.
+    sides = long.groupBy("metric", "outer_fold").agg(*[F.max(F.when(F.col("procedure") == a, F.col("value"))).alias(f"__{i}")
+                                                       for i, a in enumerate(arms)])
+    stats = [f(f"__{i}").alias(f"{a}_{s}") for i, a in enumerate(arms) for s, f in (("mean", F.avg), ("std", F.stddev_pop))]
+    pairs = [F.avg(F.col(f"__{i}") - F.col(f"__{j}")).alias(f"{a}_minus_{b}") for i, a in enumerate(arms) for j, b in enumerate(arms) if i < j]
+    return sides.groupBy("metric").agg(*stats, *pairs)
 
 
 def trial_rows(searches: DataFrame) -> DataFrame:

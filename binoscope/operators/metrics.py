@@ -22,6 +22,18 @@ def check_threshold(threshold: float) -> float:
     return float(threshold)
 
 
+def refusing(scored: DataFrame) -> DataFrame:
+    """The scores, with an error instead of p where a row breaks the contract: y is 0 or 1, p a number from 0 to 1.
+
+    The test rides along in the plan and needs no pass of its own; `checks.check_scored` lists the violations.
+    """
+    y, p = F.col("y"), F.col("p")
+    broken = y.isNull() | ~y.isin(0, 1) | p.isNull() | F.isnan(p) | (p < 0) | (p > 1)
+    reason = F.concat(F.lit("A score needs a label 0 or 1 and a number from 0 to 1, not y="), F.coalesce(y.cast("string"), F.lit("null")),
+                      F.lit(", p="), F.coalesce(p.cast("string"), F.lit("null")))
+    return scored.withColumn("p", F.when(broken, F.raise_error(reason)).otherwise(p))
+
+
 def label_at(scored: DataFrame, threshold: float, yes="Yes", no="No") -> DataFrame:
     """Add predicted_class and decision_threshold; a score equal to the threshold counts as positive."""
     check_threshold(threshold)
@@ -101,11 +113,17 @@ def log_loss(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def evaluate(scored: DataFrame, threshold: float = DEFAULT_THRESHOLD, by: Sequence[str] = (),
              weight: str | None = None, cuts: Sequence[float] | None = None) -> DataFrame:
-    """The full metric row per group, all from one collapsed table: ranking metrics, threshold metrics, counts."""
+    """The full metric row per group, all from one collapsed table: ranking metrics, threshold metrics, counts.
+
+    Rows that are no scores (see `refusing`) and, without groups, an empty table are errors.
+    """
     check_threshold(threshold)
+    scored = refusing(scored)
     flagged = F.col("p") >= threshold
     miss, hit = F.col("p") * F.col("p"), (1 - F.col("p")) * (1 - F.col("p"))
     total = F.max("n_p") + F.max("n_n")
+    if not by:
+        total = F.coalesce(total, F.raise_error(F.lit("There are no scores to evaluate.")).cast("long"))
     row = score_curve(scored, by, weight, cuts).groupBy(*by).agg(
         _auc().alias("roc_auc"), _ap().alias("pr_auc"),
         (F.sum(F.col("n_neg") * miss + F.col("n_pos") * hit) / total).alias("brier_score"),
@@ -128,7 +146,7 @@ def threshold_table(scored: DataFrame, grid: Sequence[float] | None = None, by:
     if not grid:
         raise ValueError("The threshold grid is empty.")
     steps = F.array(*[F.lit(t) for t in grid])
-    reached = scored.withColumn("reached", steps_reached(F.col("p"), grid))
+    reached = refusing(scored).withColumn("reached", steps_reached(F.col("p"), grid))
     cells = reached.groupBy(*by, "reached").agg(count_where(F.col("y") == 1).alias("n_pos"),
                                                 count_where(F.col("y") == 0).alias("n_neg"))
     swept = cells.select("*", F.posexplode(steps).alias("step", "threshold"))
@@ -200,6 +218,7 @@ def capacity(scored: DataFrame, fractions: Sequence[float] = (0.05, 0.10, 0.20),
         raise ValueError("Capacity fractions must lie in (0, 1].")
     by = list(by)
     keys = [*by, "capacity_fraction"]
+    scored = refusing(scored)
     curve = score_curve(scored, by)
     total = F.col("n_p") + F.col("n_n")
     size = F.ceil(F.col("capacity_fraction") * total).cast("long")
@@ -250,7 +269,7 @@ def subgroups(scored: DataFrame, attributes: Sequence[str], threshold: float) ->
     """Rates per value of every attribute in one grouping; null where a group has no row of the needed class."""
     check_threshold(threshold)
     flagged = F.col("p") >= threshold
-    long = scored.select("y", flagged.alias("flagged"), *[F.col(a).cast("string").alias(a) for a in attributes]) \
+    long = refusing(scored).select("y", flagged.alias("flagged"), *[F.col(a).cast("string").alias(a) for a in attributes]) \
                  .unpivot(["y", "flagged"], list(attributes), "attribute", "group").where(F.col("group").isNotNull())
     positive, hit = F.col("y") == 1, F.col("flagged")
     counts = long.groupBy("attribute", "group").agg(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from binoscope.functions.scalars import same_keys
 from binoscope.operators import bootstrap, metrics, models, split
 from binoscope.plans import bindings as B
 from binoscope.plans import sqltext as S
@@ -301,7 +302,26 @@ def subgroups(spark, sf_dir):
                                             ("recall", "false_positive_rate", "selection_rate") for side, q in (("lower", 0.025), ("upper", 0.975)))
           + ' FROM rates GROUP BY attribute, "group"')
 def subgroup_ci(spark, sf_dir):
-    return rounded(bootstrap.subgroup_ci(_banded(spark, sf_dir), ATTRIBUTES, 0.5, N_BOOT), 9)
+    return rounded(bootstrap.subgroup_ci(_banded(spark, sf_dir), ATTRIBUTES, 0.5, N_BOOT, method="draws"), 9)
+
+
+@register("G17_subgroup_ci_counts", f"""WITH {BANDED} SELECT DISTINCT attribute, "group", true AS ordered, true AS inside, true AS width FROM long""")
+def subgroup_ci_counts(spark, sf_dir):
+    """All 1,000 replicates: the bounds are in order, hold the observed rate, and are about as wide as theory says."""
+    scores = _banded(spark, sf_dir)
+    bounds = bootstrap.subgroup_ci(scores, ATTRIBUTES, 0.5)
+    seen = metrics.subgroups(scores, ATTRIBUTES, 0.5)
+    both = same_keys(bounds, seen, ["attribute", "group"])
+    cells = [("recall", F.col("positive_count")), ("false_positive_rate", F.col("n") - F.col("positive_count"))]
+
+    def bound(name: str, side: str):
+        return F.col(f"{name}_{side}")
+    ordered = [bound(m, "lower") <= bound(m, "upper") for m, _ in cells]
+    inside = [(bound(m, "lower") <= F.col(m)) & (F.col(m) <= bound(m, "upper")) for m, _ in cells]
+    spread = [2 * 1.959964 * F.sqrt(F.col(m) * (1 - F.col(m)) / n) for m, n in cells]
+    width = [F.abs(bound(m, "upper") - bound(m, "lower") - s) <= 0.25 * s + 3 / n for (m, n), s in zip(cells, spread)]
+    return both.select("attribute", "group", *[F.coalesce(a & b, F.lit(True)).alias(name) for name, (a, b) in (
+        ("ordered", ordered), ("inside", inside), ("width", width))])
 
 
 @register("G18_fold_summary", f"WITH {S.FOLDED_MODELS}, {S.evaluation('folded', 0.5, ['model', 'fold'], 'per_fold')}, "

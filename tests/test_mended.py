@@ -5,7 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from binoscope.operators import checks, drift, explain, integrity, metrics, order, profile, split
+from binoscope.operators import bootstrap, checks, drift, explain, integrity, metrics, order, profile, split
 from binoscope.sources import tables
 from binoscope.spec import TableSpec  # noqa: F401  (the reader takes either kind of schema)
 
@@ -118,3 +118,34 @@ def test_permutation_has_one_rule_at_every_size(spark):
         own = made.where(F.col("repeat") == repeat).collect()
         assert sorted(r.a for r in own) == [float(k) for k in range(500)] and all(r.b == 2 * r.id for r in own)
         assert sum(r.a == r.id for r in own) < 10
+
+
+@pytest.mark.parametrize("y, p", [(None, 0.5), (2, 0.5), (1, 1.7), (1, None), (0, NAN), (0, -0.1)])
+def test_evaluations_refuse_rows_that_are_no_scores(scored_of, y, p):
+    scored = scored_of([0, 1, 0], [0.1, 0.9, 0.5]).withColumn("g", F.lit("a"))
+    broken = scored.unionByName(scored.limit(1).withColumn("y", F.lit(y).cast("int")).withColumn("p", F.lit(p).cast("double")))
+    for report in (lambda t: metrics.evaluate(t, 0.5), lambda t: metrics.threshold_table(t), lambda t: metrics.capacity(t, [0.5]),
+                   lambda t: metrics.subgroups(t, ["g"], 0.5), lambda t: bootstrap.subgroup_ci(t, ["g"], 0.5, 10)):
+        report(scored).collect()
+        with pytest.raises(Exception, match="label 0 or 1"):
+            report(broken).collect()
+
+
+def test_nothing_to_evaluate_is_an_error(scored_of):
+    empty = scored_of([0], [0.5]).limit(0)
+    with pytest.raises(Exception, match="no scores"):
+        metrics.evaluate(empty, 0.5).collect()
+    assert metrics.evaluate(empty.withColumn("g", F.lit(1)), 0.5, ["g"]).count() == 0
+
+
+def test_subgroup_intervals_from_counts(scored_of):
+    scored = scored_of([k % 2 for k in range(2000)], [0.9 if k % 3 == 0 else 0.2 for k in range(2000)]).withColumn("g", F.col("id") % 2)
+    one, two = (bootstrap.subgroup_ci(scored.repartition(n), ["g"], 0.5, 400).orderBy("group").collect() for n in (1, 7))
+    assert one == two
+    for row in one:
+        rate, n = 1 / 3, 1000
+        name = "recall" if row["recall_lower"] is not None else "false_positive_rate"
+        assert row[f"{name}_lower"] < rate < row[f"{name}_upper"]
+        assert row[f"{name}_upper"] - row[f"{name}_lower"] == pytest.approx(2 * 1.96 * (rate * (1 - rate) / n) ** 0.5, rel=0.25)
+    plan = bootstrap.subgroup_ci(scored, ["g"], 0.5, 400)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1
