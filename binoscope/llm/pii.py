@@ -17,6 +17,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -57,7 +58,8 @@ _PATTERN = re.compile("|".join([
     r"|(?<!\w)\+\d{8,15}(?!\w))",
     rf"(?<!\w)(?P<title>{_TITLE})\.?\s+(?P<name>{_NAME_WORD}(?:[ ]{_NAME_WORD}){{0,2}})",
 ]))
-MAY_HOLD = rf"[0-9@]|(?U)\b(?:{_TITLE})\b"
+_DIGITS, _NAMES = re.compile("[0-9@]+"), re.compile(rf"(?<!\w)(?:{_TITLE})(?!\w)")
+MARGIN = 80                 # characters around an anchor that are searched, and on to the next white space
 
 MENTIONS = "start int, stop int, kind string, canonical string"
 
@@ -75,10 +77,40 @@ def script(word: str) -> str:
     return unicodedata.name(word[0], "LATIN").split(" ")[0]
 
 
+def may_hold(text: Column) -> Column:
+    """Whether a text has an anchor of some entity: a digit, an @ or the letters of a title."""
+    found = reduce(lambda a, b: a | b, [text.contains(title) for title in TITLES], text.rlike("[0-9@]"))
+    return F.coalesce(found, F.lit(False))
+
+
+def regions(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches of the text around its anchors; every entity lies in one of them."""
+    anchors = [m.span() for m in _DIGITS.finditer(text)]
+    if any(title in text for title in TITLES):
+        anchors = sorted(anchors + [m.span() for m in _NAMES.finditer(text)])
+    start = stop = -1
+    for a, b in anchors:
+        if b + MARGIN <= stop:
+            continue
+        low = max(text.rfind(" ", 0, max(0, a - MARGIN)), text.rfind("\n", 0, max(0, a - MARGIN)), 0)
+        high = min(k if k >= 0 else len(text) for k in (text.find(" ", b + MARGIN), text.find("\n", b + MARGIN)))
+        if low > stop:
+            if stop >= 0:
+                yield start, stop
+            start = low
+        stop = high
+    if stop >= 0:
+        yield start, stop
+
+
 def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, stop, kind, canonical value) of each entity, in order and without overlaps."""
-    at = 0
-    while m := _PATTERN.search(text, at):
+    for start, stop in regions(text):
+        yield from _mentions(text, start, stop)
+
+
+def _mentions(text: str, at: int, end: int) -> Iterator[tuple[int, int, str, str]]:
+    while m := _PATTERN.search(text, at, end):
         at = max(m.end(), at + 1)
         kind = m.lastgroup
         value = m[kind]
@@ -215,7 +247,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def find_mentions(docs: DataFrame, text: str = "text") -> DataFrame:
     """(mark, start, stop, kind, canonical) of every mention of every distinct text; mark is a hash of the text."""
-    own = docs.where(F.col(text).rlike(MAY_HOLD)).select(text_mark(F.col(text)).alias("mark"), F.col(text).alias("text"))
+    own = docs.where(may_hold(F.col(text))).select(text_mark(F.col(text)).alias("mark"), F.col(text).alias("text"))
     return own.mapInArrow(_find, f"mark string, {MENTIONS}").dropDuplicates(["mark", "start"])
 
 
@@ -273,7 +305,7 @@ def replace_entities(docs: DataFrame, text: str = "text", length: str | None = "
         return pd.Series(out, dtype=object)
 
     names = {n: free_name(docs, n) for n in ("mark", "mentions", "changed")}
-    may = F.coalesce(F.col(f"`{text}`").rlike(MAY_HOLD), F.lit(False))
+    may = may_hold(F.col(f"`{text}`"))
     by_text = by_text.withColumnsRenamed({"mark": names["mark"], "mentions": names["mentions"]})
     joined = docs.where(may).withColumn(names["mark"], text_mark(F.col(f"`{text}`"))).join(by_text, names["mark"], "left")
     changed = joined.withColumn(names["changed"], F.when(F.col(names["mentions"]).isNull(), F.col(f"`{text}`")).otherwise(
