@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from binoscope.llm import chat, decontaminate, language, licenses, minhash, packing, pii, quality, toxicity, urls
+from binoscope.llm.shared import findable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -23,6 +24,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    findable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from binoscope.session import shared_folder
 
@@ -20,3 +21,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def findable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did; a cluster gets it by --py-files."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from binoscope.llm import decontaminate, minhash, packing, pii, quality
-from binoscope.llm.shared import written
+from binoscope.llm.shared import findable, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,6 +45,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over `documents`, each written and read again."""
+    findable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
