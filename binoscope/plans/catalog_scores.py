@@ -329,3 +329,96 @@ def subgroup_ci_counts(spark, sf_dir):
           + ") SELECT model, metric, round(avg(value), 6) + 0.0 AS mean, round(stddev_pop(value), 6) + 0.0 AS std FROM long GROUP BY model, metric")
 def fold_summary(spark, sf_dir):
     return rounded(metrics.fold_summary(metrics.fold_metrics(B.folded_models(spark, sf_dir))))
+
+
+# ---- models whose scores are known: with one category and next to no penalty a logistic model gives the category's rate
+
+KNOWN = models.Features((), ("segment",))
+KNOWN_SQL = f"""{S.CLS}, parts AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY y ORDER BY {S.hex_of('42', "'split'", 'id')})
+  <= floor(0.2 * count(*) OVER (PARTITION BY y) + 0.5) THEN 'test' ELSE 'train' END AS partition FROM cls), train AS (SELECT * FROM parts WHERE partition = 'train')"""
+
+
+def _known_parts(spark, sf_dir):
+    table = split.stratified_split(B.cls(spark, sf_dir))
+    return table.where("partition = 'train'").drop("partition"), table.where("partition = 'test'").drop("partition")
+
+
+def _agreement(scores, train, by: list[str], expected=None):
+    """Per group: rows scored, and whether every score is the training rate of its segment to three digits."""
+    keys = [c for c in by if c in train.columns]
+    rates = train.groupBy(*keys).agg(F.avg("y").alias("rate"))
+    want = F.col("rate") if expected is None else expected(F.col("rate"))
+    joined = same_keys(scores, rates, keys) if keys else scores.crossJoin(F.broadcast(rates))
+    return joined.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), (F.max(F.abs(F.col("p") - want)) < 1e-3).alias("agrees"))
+
+
+@register("F2_logistic_known", f"WITH {KNOWN_SQL} SELECT segment, count(*) AS n, true AS agrees FROM parts WHERE partition = 'test' GROUP BY segment")
+def logistic_known(spark, sf_dir):
+    train, test = _known_parts(spark, sf_dir)
+    return _agreement(models.fit(train, models.logistic(C=1e9), KNOWN).score(test), train, ["segment"])
+
+
+@register("F3_logistic_balanced_known", f"WITH {KNOWN_SQL} SELECT segment, count(*) AS n, true AS agrees FROM parts WHERE partition = 'test' GROUP BY segment")
+def logistic_balanced_known(spark, sf_dir):
+    train, test = _known_parts(spark, sf_dir)
+    share = train.agg(F.avg("y")).first()[0]
+    scores = models.fit(train, models.logistic(C=1e9, balanced=True), KNOWN).score(test)
+    return _agreement(scores, train, ["segment"], lambda r: (r / share) / (r / share + (1 - r) / (1 - share)))
+
+
+@register("F7_batch_scoring_known", f"""WITH {KNOWN_SQL}, rates AS (SELECT segment, avg(y) AS rate FROM train GROUP BY segment)
+  SELECT id, CASE WHEN rate >= 0.3 THEN 'Yes' ELSE 'No' END AS predicted_class, CAST(0.3 AS DOUBLE) AS decision_threshold, 'run-1' AS run_id
+  FROM parts JOIN rates USING (segment) WHERE partition = 'test'""")
+def batch_scoring_known(spark, sf_dir):
+    train, test = _known_parts(spark, sf_dir)
+    return models.score_batch(test, models.fit(train, models.logistic(C=1e9), KNOWN), 0.3, "run-1", KNOWN).drop("p")
+
+
+@register("F9_oof_scores_known", f"""WITH {S.CLS}, folds AS (SELECT *, {S.fold_of()} AS fold FROM cls)
+  SELECT fold, segment, count(*) AS n, true AS agrees FROM folds GROUP BY fold, segment""")
+def oof_scores_known(spark, sf_dir):
+    folded = split.stratified_folds(B.cls(spark, sf_dir))
+    scores = models.oof_scores(folded.select("id", "y", "fold", "segment"), [models.logistic(C=1e9)], KNOWN, keep=("id", "y", "fold", "segment"))
+    rest = folded.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(4)).cast("array<bigint>"))).join(
+        folded.select("id", F.col("fold").alias("own")), "id").where("fold <> own")
+    return rounded(_agreement(scores, rest, ["fold", "segment"]))
+
+
+@register("F10_score_all_known", f"""WITH {KNOWN_SQL}, test AS (SELECT * FROM parts WHERE partition = 'test')
+  SELECT 'logistic_regression' AS model, segment, count(*) AS n, true AS agrees FROM test GROUP BY segment
+  UNION ALL SELECT 'dummy', segment, count(*), true FROM test GROUP BY segment""")
+def score_all_known(spark, sf_dir):
+    train, test = _known_parts(spark, sf_dir)
+    fitted = [models.fit(train, plan, KNOWN) for plan in (models.prior(), models.logistic(C=1e9))]
+    scores = models.score_all(test, fitted, ("id", "segment"))
+    alike = _agreement(scores.where("model <> 'dummy'"), train, ["segment"]).withColumn("model", F.lit("logistic_regression"))
+    flat = _agreement(scores.where("model = 'dummy'"), train.withColumn("segment", F.explode(F.array(*[
+        F.lit(r[0]) for r in test.select("segment").distinct().collect()]))), ["segment"]).withColumn("model", F.lit("dummy"))
+    return alike.unionByName(flat).select("model", "segment", "n", "agrees")
+
+
+@register("E10_full_pipeline_known", f"WITH {KNOWN_SQL} SELECT segment, count(*) AS n, true AS agrees FROM parts WHERE partition = 'test' GROUP BY segment")
+def full_pipeline_known(spark, sf_dir):
+    train, test = _known_parts(spark, sf_dir)
+    wide = models.Features((), ("segment", "region"))
+    return _agreement(models.build_pipeline(train, wide, models.logistic(C=1e9), exclude=["region"]).score(test), train, ["segment"])
+
+
+@register("I1_coefficients_known", f"WITH {KNOWN_SQL} SELECT segment, true AS agrees FROM train GROUP BY segment")
+def coefficients_known(spark, sf_dir):
+    """Coefficients of a category differ as the log odds of their rates do."""
+    train, _ = _known_parts(spark, sf_dir)
+    found = models.coefficients(spark, models.fit(train, models.logistic(C=1e9), KNOWN))
+    rates = train.groupBy("segment").agg(F.avg("y").alias("rate")).withColumn("odds", F.log(F.col("rate") / (1 - F.col("rate"))))
+    # One row per segment on either side.
+    both = found.join(rates, F.col("feature").endswith(F.col("segment")))
+    means = both.agg(F.avg("coefficient").alias("c"), F.avg("odds").alias("o"))
+    near = F.abs((F.col("coefficient") - F.col("c")) - (F.col("odds") - F.col("o"))) < 1e-2
+    return both.crossJoin(F.broadcast(means)).select("segment", near.alias("agrees"))
+
+
+@register("I2_importances_known", f"WITH {KNOWN_SQL} SELECT count(DISTINCT segment) AS n_features, true AS sums_to_one FROM train")
+def importances_known(spark, sf_dir):
+    train, _ = _known_parts(spark, sf_dir)
+    found = models.importances(spark, models.fit(train, models.forest(trees=20), KNOWN))
+    return found.agg(F.count(F.lit(1)).alias("n_features"), (F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"))
