@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from binoscope.llm import decontaminate, minhash, packing, pii, quality
 from binoscope.llm.shared import findable, written
 
+NEAR_PERCENT = 80               # Jaccard similarity of near-duplicates; op1 has 85
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and stay near a language; the others go."""
@@ -17,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component: the one with the smallest id."""
-    return minhash.keep_first(docs)
+    return minhash.keep_first(docs, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
