@@ -2,7 +2,8 @@
 
 Fitted on a bounded sample of labelled documents (SAMPLED_DOCUMENTS, chosen by a hash of the id); the sample's words are
 counted by Spark, the weights are found on the driver, and every whole text is scored by the tasks. A document that
-names a group is paired with the same document naming another one, and the squared difference of the two scores, times
+names a group is paired with the same document naming another one (its features, beginnings of words included, are those
+of the swapped text), and the squared difference of the two scores, times
 COUNTERFACTUAL_WEIGHT, is added to the loss: neutral mentions of a group then carry no weight of their own.
 """
 
@@ -44,10 +45,16 @@ IDENTITY_TERMS = [
 ]
 
 
+ROW_OF = {t.encode(): [o.encode() for o in row if o != t] for row in IDENTITY_TERMS for t in row}
+
+
 def features(text: bytes | None) -> set[bytes]:
     """The distinct words, and the beginnings of longer words with how often they stand in the text (1, 2, 3 or 5 times
     at least). No word holds the marks ^ and *, so the names of the two kinds never meet."""
-    words = Counter(plain_words(text or b""))
+    return features_of(Counter(plain_words(text or b"")))
+
+
+def features_of(words: Counter[bytes]) -> set[bytes]:
     starts: Counter[bytes] = Counter()
     for word, n in words.items():
         if len(word) > BEGINNING:
@@ -55,6 +62,20 @@ def features(text: bytes | None) -> set[bytes]:
     return {*words, *(b"^%b*%d" % (start, level) for start, n in starts.items() for level in LEVELS if n >= level)}
 
 
+def counterfactuals(text: bytes | None) -> list[tuple[bytes, bytes, list[bytes], list[bytes]]]:
+    """(term out, term in, features that go, features that come) for each text with one term in place of another
+    wherever it stands."""
+    words = Counter(plain_words(text or b""))
+    own, found = features_of(words), []
+    for out in sorted(ROW_OF.keys() & words.keys()):
+        for into in ROW_OF[out]:
+            swapped = words.copy()
+            swapped[into] += swapped.pop(out)
+            new = features_of(swapped)
+            found.append((out, into, sorted(own - new), sorted(new - own)))
+    return found
+
+
 @dataclass
 class Model:
     weights: dict[bytes, float]
@@ -66,14 +87,21 @@ class Model:
 
 
 def fit_linear(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, width: int,
-               swaps: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> tuple[np.ndarray, float]:
+               swaps: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray],
+               changes: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias for balanced log loss, ridge, and the squared change of score under swaps, by Adam's method.
 
     swaps: (document, word out, word in, how many words of the row the document could be given) per counterfactual.
+    changes: (counterfactual, feature, -1 if it goes and 1 if it comes) for all features that a swap changes; without
+    them, the two words alone.
     """
     balance = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum())) * len(labels)
     document, out, into, shared = swaps
     fair = COUNTERFACTUAL_WEIGHT / np.maximum(1, shared)
+    if changes is None:
+        each = np.arange(len(document))
+        changes = np.concatenate((each, each)), np.concatenate((out, into)), np.repeat([-1, 1], len(document))
+    which, changed, sign = changes
 
     def chance(logit: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
@@ -81,12 +109,12 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, width:
     def slope_at(weights: np.ndarray, bias: float) -> np.ndarray:
         logit = np.bincount(rows, weights=weights[columns], minlength=len(labels)) + bias
         p = chance(logit)
-        q = chance(logit[document] - weights[out] + weights[into])
+        q = chance(logit[document] + np.bincount(which, weights=sign * weights[changed], minlength=len(document)))
         # The gradient of fair * (p - q)^2, where q is the swapped document's score.
         gap = 2 * fair * (p[document] - q)
         here, there = gap * p[document] * (1 - p[document]), gap * q * (1 - q)
         error = balance * (p - labels) + np.bincount(document, weights=here - there, minlength=len(labels))
-        swapped = np.bincount(out, weights=there, minlength=width) - np.bincount(into, weights=there, minlength=width)
+        swapped = -np.bincount(changed, weights=sign * there[which], minlength=width)
         return np.append(np.bincount(columns, weights=error[rows], minlength=width) + RIDGE * weights + swapped, error.sum())
 
     parameters, mean, square = np.zeros(width + 1), np.zeros(width + 1), np.zeros(width + 1)
@@ -98,10 +126,15 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, labels: np.ndarray, width:
     return parameters[:-1], float(parameters[-1])
 
 
+_SWAPS = pa.list_(pa.struct([("out", pa.binary()), ("into", pa.binary()), ("gone", pa.list_(pa.binary())), ("come", pa.list_(pa.binary()))]))
+
+
 def _words(batches):
     for batch in batches:
-        found = [sorted(features(t)) for t in texts_of(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.binary()))], names=["label", "words"])
+        texts = texts_of(batch.column(1))
+        swaps = [[dict(zip(("out", "into", "gone", "come"), c)) for c in counterfactuals(t)] for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sorted(features(t)) for t in texts], pa.list_(pa.binary())),
+                                          pa.array(swaps, _SWAPS)], names=["label", "words", "swaps"])
 
 
 def fit(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -115,7 +148,8 @@ def fit(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     share = min(1.0, most / max(1, marked.count()))
     drawn = marked.where(F.pmod(F.xxhash64(id, F.lit("toxicity")), F.lit(1_000_000)) < int(share * 1_000_000))
     sample = documents.select(id, text).join(drawn, id).select(F.col("label").cast("int").alias("label"), text)
-    sample = sample.mapInArrow(_words, "label int, words array<binary>").persist()
+    sample = sample.mapInArrow(_words, "label int, words array<binary>, swaps array<struct<out: binary, into: binary, "
+                               "gone: array<binary>, come: array<binary>>>").persist()
     try:
         sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
         negative, positive = sizes.get(0, 0), sizes.get(1, 0)
@@ -126,7 +160,7 @@ def fit(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
         a, b = F.col("hits") + 0.5, F.col("n") - F.col("hits") + 0.5
         odds = F.log(a / (positive + 1 - a)) - F.log(b / (negative + 1 - b))
         strength = F.abs(odds) / F.sqrt(1 / a + 1 / b)
-        terms = sorted({t.encode() for row in IDENTITY_TERMS for t in row})
+        terms = sorted(ROW_OF)
         kept = own.where((F.col("n") >= LEAST_DOCUMENTS) & (strength >= LEAST_STRENGTH) & ~F.col("word").isin([F.lit(t) for t in terms]))
         words = [bytes(r["word"]) for r in kept.orderBy(strength.desc(), "word").limit(MOST_FEATURES).collect()]
         number = {w: k for k, w in enumerate([*sorted(words), *terms])}
@@ -136,19 +170,26 @@ def fit(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
         def numbers(of_document):
             return sorted(shared.value[bytes(w)] for w in of_document if bytes(w) in shared.value)
 
-        table = sample.select("label", numbers("words").alias("numbers")).toPandas()
+        @F.udf("array<array<int>>")
+        def changes_of(swaps):
+            """Per counterfactual: term out, term in, and the known features it changes, +1 and negative if they go."""
+            known = shared.value
+            return [[known[bytes(s["out"])], known[bytes(s["into"])], *(-1 - known[bytes(w)] for w in s["gone"] if bytes(w) in known),
+                     *(1 + known[bytes(w)] for w in s["come"] if bytes(w) in known)] for s in swaps]
+
+        table = sample.select("label", numbers("words").alias("numbers"), changes_of("swaps").alias("swaps")).toPandas()
     finally:
         sample.unpersist()
     table = table.iloc[sorted(range(len(table)), key=lambda i: (int(table["label"][i]), list(table["numbers"][i])))]
     own = [np.asarray(n, dtype=np.int64) for n in table["numbers"]]
     rows, columns = np.repeat(np.arange(len(own)), [len(n) for n in own]), np.concatenate([np.empty(0, np.int64), *own])
-    swaps = []
-    row_of = {number[t.encode()]: [number[o.encode()] for o in row if o != t] for row in IDENTITY_TERMS for t in row}
-    for at, there in enumerate(own):
-        for out in there[there >= len(words)].tolist():
-            swaps += [(at, out, into, len(row_of[out])) for into in row_of[out]]
-    swapped = tuple(np.array(swaps, dtype=np.int64).reshape(-1, 4).T)
-    weights, bias = fit_linear(rows, columns, table["label"].to_numpy(dtype=float), len(number), swapped)
+    swaps, changes = [], []
+    for at, of_document in enumerate(table["swaps"]):
+        for out, into, *changed in of_document:
+            changes += [(len(swaps), abs(k) - 1, 1 if k > 0 else -1) for k in changed]
+            swaps.append((at, out, into, len(ROW_OF[terms[out - len(words)]])))
+    swapped, changed = [tuple(np.array(x, dtype=np.int64).reshape(-1, n).T) for x, n in ((swaps, 4), (changes, 3))]
+    weights, bias = fit_linear(rows, columns, table["label"].to_numpy(dtype=float), len(number), swapped, changed)
     return Model({w: float(weights[k]) for w, k in number.items() if weights[k]}, bias)
 
 
