@@ -1,10 +1,12 @@
 """PII: detected entities get keyed surrogates of the same type, gender, script and format.
 
 1. Texts that can hold an entity are searched; each mention has a kind and a canonical value, so that spellings of one
-   entity meet (case of an email, punctuation of a number, the words of a name apart).
+   entity meet (case of an email, punctuation of a number, the words of a name apart). Names are found behind titles, and
+   then without a title elsewhere in the same text. A given name is one entity per script: its gender is that of its
+   titles in the corpus, and neutral if these have none or both.
 2. The distinct entities of the whole corpus draw surrogates from a keyed stream. A surrogate that another entity has
    drawn, or that is itself an entity of the corpus, is refused, and its entity draws again: distinct stays distinct, and
-   no surrogate points at somebody real. One entity has one surrogate wherever it stands.
+   no surrogate points at somebody real. One entity has one surrogate wherever it is mentioned.
 3. Mentions take their surrogate in their own format, and only documents with mentions are joined and rewritten.
 """
 
@@ -21,7 +23,7 @@ from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binoscope.llm.shared import written
@@ -48,7 +50,7 @@ _NAME_WORD = r"[^\W\d_a-zа-яß-öø-ÿ](?:[^\W\d_]|['’](?=[^\W\d_]))+(?:-[^\
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _PATTERN = re.compile("|".join([
     r"(?P<email>(?<![\w.+%-])[\w.+%-]+@(?:[\w-]+\.)+[^\W\d_]{2,})",
-    r"(?<![\w-])(?i:(?:api|access|secret|auth)?[ _-]?(?:token|secret|password|passwd|key))[\"']?\s*[=:]\s*[\"']?(?P<secret>[\w+/=.-]{8,})",
+    r"(?<![\w-])(?P<label>(?i:(?:api|access|secret|auth)?[ _-]?(?:token|secret|password|passwd|key)))[\"']?\s*[=:]\s*[\"']?(?P<secret>[\w+/=.-]{8,})",
     r"(?P<secret2>(?<!\w)(?:AKIA[0-9A-Z]{16}|gh[pousr]_\w{30,}|sk-[\w-]{20,}|[0-9a-f]{32,128}|[0-9A-F]{32,128})(?!\w))",
     r"(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?!\w))",
     rf"(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))",
@@ -59,6 +61,8 @@ _PATTERN = re.compile("|".join([
     rf"(?<!\w)(?P<title>{_TITLE})\.?\s+(?P<name>{_NAME_WORD}(?:[ ]{_NAME_WORD}){{0,2}})",
 ]))
 _DIGITS, _NAMES = re.compile("[0-9@]+"), re.compile(rf"(?<!\w)(?:{_TITLE})(?!\w)")
+_LABELS = re.compile(r"(?i)(?:token|secret|password|passwd|key)[\"']?\s*[=:]")
+_LABEL_ENDS = ("token", "secret", "password", "passwd", "key")
 MARGIN = 80                 # characters around an anchor that are searched, and on to the next white space
 
 MENTIONS = "start int, stop int, kind string, canonical string"
@@ -78,16 +82,22 @@ def script(word: str) -> str:
 
 
 def may_hold(text: Column) -> Column:
-    """Whether a text has an anchor of some entity: a digit, an @ or the letters of a title."""
+    """Whether a text has an anchor of some entity: a digit, an @, the letters of a title or the label of a secret."""
     found = reduce(lambda a, b: a | b, [text.contains(title) for title in TITLES], text.rlike("[0-9@]"))
-    return F.coalesce(found, F.lit(False))
+    return F.coalesce(found | text.rlike(_LABELS.pattern), F.lit(False))
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
     """Stretches of the text around its anchors; every entity lies in one of them."""
     anchors = [m.span() for m in _DIGITS.finditer(text)]
     if any(title in text for title in TITLES):
-        anchors = sorted(anchors + [m.span() for m in _NAMES.finditer(text)])
+        anchors += [m.span() for m in _NAMES.finditer(text)]
+    # Labels are looked for before each mark only, as a search through the whole text is slow.
+    for m in re.finditer("[=:]", text):
+        before = text[max(0, m.start() - MARGIN):m.start()].rstrip()
+        if before.rstrip("\"'").lower().endswith(_LABEL_ENDS):
+            anchors.append(m.span())
+    anchors.sort()
     start = stop = -1
     for a, b in anchors:
         if b + MARGIN <= stop:
@@ -105,8 +115,52 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
 
 def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, stop, kind, canonical value) of each entity, in order and without overlaps."""
-    for start, stop in regions(text):
-        yield from _mentions(text, start, stop)
+    found = [m for start, stop in regions(text) for m in _mentions(text, start, stop)]
+    yield from sorted(found + list(_untitled(text, found))) if any(" " in kind for _, _, kind, _ in found) else found
+
+
+def _untitled(text: str, found: list[tuple[int, int, str, str]]) -> Iterator[tuple[int, int, str, str]]:
+    """Other places of the names in `found`: the same word with a capital, also before 's or a hyphen.
+
+    A word that is a given name and a surname of the text is a given name before another of the names.
+    """
+    kinds: dict[str, list[str]] = {}
+    spellings, taken = set(), {}
+    for start, stop, kind, canonical in found:
+        taken.update(dict.fromkeys(range(start, stop)))
+        if " " in kind:
+            own = kinds.setdefault(canonical, [])
+            if kind not in own:
+                own.append(kind)
+            word = text[start:stop]
+            spellings |= {word, word.upper(), word[:1].upper() + word[1:].lower()}
+    places = []
+    for word in spellings:
+        at = text.find(word)
+        while at >= 0:
+            stop = at + len(word)
+            if not (_wordy(text[at - 1:at]) or _wordy(text[stop:stop + 1]) or at in taken or stop - 1 in taken):
+                places.append((at, stop, word.casefold()))
+            at = text.find(word, at + 1)
+    # Of a name inside a hyphenated one the longer stays.
+    longest, end = [], 0
+    for at, stop, canonical in sorted(places, key=lambda p: (p[0], -p[1])):
+        if at >= end:
+            longest.append((at, stop, canonical))
+            end = stop
+    begins = {a for a, _, _ in longest} | {a for a, _, kind, _ in found if " " in kind}
+    for at, stop, canonical in longest:
+        own = kinds.get(canonical, ())
+        given = [k for k in own if k.startswith("given")]
+        family = [k for k in own if k.startswith("surname")]
+        if given and (not family or text[stop:stop + 1] == " " and stop + 1 in begins):
+            yield at, stop, given[0], canonical
+        elif family:
+            yield at, stop, family[0], canonical
+
+
+def _wordy(c: str) -> bool:
+    return c.isalnum() or c == "_"
 
 
 def _mentions(text: str, at: int, end: int) -> Iterator[tuple[int, int, str, str]]:
@@ -124,7 +178,8 @@ def _mentions(text: str, at: int, end: int) -> Iterator[tuple[int, int, str, str
         elif kind == "email":
             yield *m.span(kind), kind, value.casefold() if len(value.casefold()) == len(value) else value
         elif kind in ("secret", "secret2"):
-            if any(c.isdigit() for c in value):
+            # Behind a bare "key" a value without digits is a word of the text.
+            if any(c.isdigit() for c in value) or m["label"] and m["label"].casefold().strip(" _-") != "key":
                 yield *m.span(kind), "secret", value
             else:
                 at = m.start(kind)
@@ -255,6 +310,16 @@ def text_mark(text: Column) -> Column:
     return F.md5(text.cast("binary"))
 
 
+def one_gender(entities: DataFrame) -> DataFrame:
+    """(kind, canonical, resolved) of the distinct entities; a given name has one resolved kind per script: the gender of
+    its titles, neutral for none or both."""
+    own = entities.select("kind", "canonical").distinct()
+    given, name = F.col("kind").startswith("given "), F.substring_index("kind", " ", -1)
+    sure = F.array_remove(F.collect_set(F.substring("kind", 7, 1)).over(Window.partitionBy(name, "canonical")), "n")
+    resolved = F.concat(F.lit("given "), F.when(F.size(sure) == 1, F.get(sure, F.lit(0))).otherwise("n"), F.lit(" "), name)
+    return own.where(given).withColumn("resolved", resolved).unionByName(own.where(~given).withColumn("resolved", F.col("kind")))
+
+
 def assign_surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, canonical, surrogate) for distinct entities: one to one within a kind, and no surrogate is an entity."""
     @F.pandas_udf("string")
@@ -289,7 +354,9 @@ def replace_entities(docs: DataFrame, text: str = "text", length: str | None = "
     or the partitions of its rows.
     """
     found = written(find_mentions(docs, text), "mentions")
-    new = assign_surrogates(found, key)
+    kinds = written(one_gender(found), "kinds")
+    new = assign_surrogates(kinds.select(F.col("resolved").alias("kind"), "canonical"), key)
+    new = kinds.join(new.withColumnRenamed("kind", "resolved"), ["resolved", "canonical"]).select("kind", "canonical", "surrogate")
     by_text = found.join(new, ["kind", "canonical"]).groupBy("mark").agg(
         F.sort_array(F.collect_list(F.struct("start", "stop", "kind", "surrogate"))).alias("mentions"))
 
