@@ -247,7 +247,7 @@ def surrogate(key: str, kind: str, canonical: str, attempt: int) -> str:
         return ("".join(s.like(c) for c in local + local[-1:] * extra) + "@"
                 + ".".join("".join(hosts.like(c) for c in label) for label in labels) + "." + top)
     if kind == "ip":
-        return _address(s, canonical)
+        return _address(s, canonical, extra)
     if kind == "phone":
         code, _, number = canonical.partition(" ")
         return code + "".join(s.like(c, first=k == 0) for k, c in enumerate(number + "0" * extra))
@@ -265,11 +265,21 @@ def surrogate(key: str, kind: str, canonical: str, attempt: int) -> str:
     return "".join(s.like(c, first=k == 0) for k, c in enumerate(canonical + canonical[-1:] * extra))
 
 
-def _address(s: Stream, canonical: str) -> str:
-    """Private stays private in the same network class, public stays public."""
+_WIDER = ("172.16.0.0/12", "10.0.0.0/8", "240.0.0.0/4")
+
+
+def _address(s: Stream, canonical: str, extra: int = 0) -> str:
+    """Private stays private, at first in the same network class, and public stays public.
+
+    If a private network runs short, draws go on to larger ones, in the end to the reserved class E, which holds more
+    addresses than all private networks together.
+    """
     old = ipaddress.ip_address(canonical)
     fixed = next((n for n, net in ((1, "10.0.0.0/8"), (1, "127.0.0.0/8"), (2, "192.168.0.0/16"), (2, "172.16.0.0/12"), (2, "169.254.0.0/16"))
                   if old in ipaddress.ip_network(net)), 0)
+    if fixed and extra:
+        wider = ipaddress.ip_network(_WIDER[min(extra, len(_WIDER)) - 1])
+        return str(wider[s.below(wider.num_addresses - 1)])
     while True:
         parts = canonical.split(".")[:fixed] + [str(s.below(256)) for _ in range(4 - fixed)]
         new = ipaddress.ip_address(".".join(parts))

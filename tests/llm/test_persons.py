@@ -1,4 +1,4 @@
-"""Names without titles, one surrogate for a name under all its titles, secrets without digits."""
+"""Names without titles, one surrogate for a name under all its titles, secrets without digits, full networks."""
 
 import re
 
@@ -29,3 +29,11 @@ def test_secrets_without_digits(spark):
     assert re.fullmatch("the password = [a-z]{18,} ok", hidden) and "correcthorse" not in hidden
     assert plain == "The key: everything is fine"
     assert [m[2:] for m in pii.mentions('api_key: "abcdefgh"')] == [("secret", "abcdefgh")]
+
+
+def test_full_networks_settle(spark):
+    late = pii.surrogate("k", "ip", "192.168.1.1", pii.TRIES_PER_LENGTH)
+    assert not late.startswith("192.168.")
+    rows = [("ip", f"192.168.{k // 256}.{k % 256}") for k in range(40_000)]
+    got = pii.assign_surrogates(spark.createDataFrame(rows, "kind string, canonical string")).collect()
+    assert len(got) == len({r.surrogate for r in got}) == 40_000 and not {r.surrogate for r in got} & {c for _, c in rows}
