@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binoscope.llm import chat, decontaminate, language, licenses, minhash, packing, pii, quality, toxicity, urls
+from binoscope.llm import bpe, chat, decontaminate, language, licenses, minhash, packing, pii, quality, toxicity, urls
 from binoscope.llm.shared import findable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,11 @@ def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM placed GROUP BY conv_id, perspective, part""")
 def perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_contiguous_rank_bpe")
+def contiguous_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents")).withColumn("decoded", bpe.decode("ids"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
