@@ -31,7 +31,7 @@ IDS_AT_ONCE = 4_000_000     # ids of one Arrow batch on the way out
 _NEVER = 1 << 60
 _MOST_CACHED = 300_000
 # White space of the normalizer's pattern; Python's split() takes these four separators as well.
-_SPACE = re.compile("[\x09-\x0d \x85\xa0  -     　]+")
+_SPACE = re.compile("[\x09-\x0d \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _PYTHON_ONLY = re.compile("[\x1c-\x1f]")
 
 

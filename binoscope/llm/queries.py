@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binoscope.llm import bpe, chat, decontaminate, language, licenses, minhash, packing, pii, quality, toxicity, urls
+from binoscope.llm import bpe, chat, decontaminate, language, licenses, minhash, packing, pii, quality, ranked, toxicity, urls
 from binoscope.llm.shared import findable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,23 @@ def contiguous_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                           F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                           F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+RANKED_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op11_interval_rmq_search", f"""
+    WITH lists AS (SELECT doc_id, {RANKED_WORDS} AS words FROM documents),
+    docs AS (SELECT doc_id, len(words) AS n FROM lists WHERE len(words) > 0),
+    sums AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS words FROM docs),
+    held AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS word FROM lists) GROUP BY doc_id, word),
+    asked AS (SELECT item_id, word, count(*) AS repeats FROM (SELECT item_id, unnest({RANKED_WORDS}) AS word FROM benchmark) GROUP BY item_id, word),
+    weights AS (SELECT word, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, sums GROUP BY word, documents),
+    scores AS (SELECT item_id, held.doc_id,
+            CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + ((25 * n * documents) // sums.words))))) AS BIGINT) AS score
+        FROM asked JOIN held USING (word) JOIN weights USING (word) JOIN docs ON docs.doc_id = held.doc_id, sums GROUP BY item_id, held.doc_id),
+    placed AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scores WHERE score > 0)
+    SELECT * FROM placed WHERE rank <= 20""")
+def interval_rmq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
