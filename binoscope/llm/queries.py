@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binoscope.llm import bpe, chat, decontaminate, language, licenses, minhash, packing, pii, quality, ranked, toxicity, urls
+from binoscope.llm import bpe, chat, collocations, decontaminate, language, licenses, minhash, packing, pii, quality, ranked, toxicity, urls
 from binoscope.llm.shared import findable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,30 @@ RANKED_WORDS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     SELECT * FROM placed WHERE rank <= 20""")
 def interval_rmq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_prefix_free_collocations", """
+    WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents),
+    pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+    lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM pieces),
+    grams AS (SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+        FROM lists, range(1, 6) t(k) WHERE len(words) >= k),
+    counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+    totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+    candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM counts WHERE k > 1 AND f >= 100),
+    cut AS (SELECT lang, phrase, a, c AS cut, array_to_string(words[1:c], ' ') AS first, array_to_string(words[c + 1:], ' ') AS rest
+        FROM candidates, range(1, 5) t(c) WHERE c < k),
+    scored AS (SELECT cut.lang, cut.phrase, a, n, cut, l.f AS l, r.f AS r,
+            CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+        FROM cut JOIN counts l ON l.lang = cut.lang AND l.phrase = first JOIN counts r ON r.lang = cut.lang AND r.phrase = rest
+        JOIN totals ON totals.lang = cut.lang),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    inside AS (SELECT lang, array_to_string(words[b:b + s - 1], ' ') AS phrase, max(a) AS longer
+        FROM candidates, range(2, 5) t(s), range(1, 5) u(b) WHERE s < k AND b + s - 1 <= k GROUP BY 1, 2),
+    kept AS (SELECT lowest.* FROM lowest LEFT JOIN inside ON inside.lang = lowest.lang AND inside.phrase = lowest.phrase
+        WHERE longer IS NULL OR longer < a),
+    placed AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept)
+    SELECT * FROM placed WHERE rank <= 2000""")
+def prefix_free_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

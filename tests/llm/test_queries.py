@@ -13,7 +13,7 @@ from binoscope.llm.shared import written
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(contract.queries()) and set(queries.SQL) <= set(contract.oracle_sql())
 
 
