@@ -1,10 +1,11 @@
 """BPE encoding and decoding with a public vocabulary: part boundaries and adjacent ranks in one short array per word.
 
-A text is cut into words as the tokenizer's file says (special tokens, normalizer, split pattern). A word keeps two lists:
-where its parts begin, and the rank of joining each part with the next. The least rank is found by a scan, its boundary is
-deleted, and the ranks of the two neighbours are looked up again, until no join is left. A scan over a short list costs less
-than any heap; words longer than SHORT_WORD symbols keep their joins in a heap over linked parts, so that a text without
-spaces costs n log n. Every task remembers the ids of the words it has met, up to a bound.
+A text is cut into words as the tokenizer's file says (special tokens, normalizer, split pattern). A word keeps two short
+rows: the parts behind its boundaries, and the rank of joining each part with the next. The least rank is found by a scan,
+its boundary is deleted, and the ranks of the two neighbours are looked up again, until no join is left. All new words of
+a batch take these steps together, as rows of one array. Words longer than SHORT_WORD symbols keep their joins in a heap
+over linked parts instead, so that a text without spaces costs n log n. Every task remembers the ids of the words it has
+met, up to a bound.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -26,10 +28,12 @@ from binoscope.llm.text import texts_of
 
 VOCABULARY = "word_bpe_49k.json"
 SHORT_WORD = 64             # symbols up to which a word is merged by scanning
-IDS_AT_ONCE = 4_000_000     # ids of one Arrow batch on the way out
+LETTERS_AT_ONCE = 1_000_000 # of the texts that are cut together, and of one Arrow batch on the way out
+WORDS_AT_ONCE = 20_000
 
-_NEVER = 1 << 60
-_MOST_CACHED = 300_000
+_NEVER = 2**31 - 1
+_SPECIAL = b"\xff"         # before special tokens among words; no byte of UTF-8
+_MOST_CACHED = 200_000
 # White space of the normalizer's pattern; Python's split() takes these four separators as well.
 _SPACE = re.compile("[\x09-\x0d \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _PYTHON_ONLY = re.compile("[\x1c-\x1f]")
@@ -43,7 +47,18 @@ class Vocabulary:
         model = told["model"]
         self.end: str = model["end_of_word_suffix"]
         self.ids: dict[str, int] = model["vocab"]
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
+        if not all(pair[0] + pair[1] in self.ids for pair in model["merges"]):
+            raise ValueError("A join of the file has no token.")
+        self.joined = np.array([self.ids[left + right] for left, right in model["merges"]], dtype=np.int32)
+        pairs = np.array([self.ids[left] << 32 | self.ids[right] for left, right in model["merges"]], dtype=np.int64)
+        self.rank_of = np.argsort(pairs).astype(np.int32)
+        self.pairs = pairs[self.rank_of]
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = iter(range(256, 512))
+        self.byte_level = [chr(b) if b in printable else chr(next(rest)) for b in range(256)]
+        self.byte_of = {c: b for b, c in enumerate(self.byte_level)}
+        self.inner = np.array([self.ids[c] for c in self.byte_level], dtype=np.int32)
+        self.final = np.array([self.ids[c + self.end] for c in self.byte_level], dtype=np.int32)
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in told["added_tokens"]):
             raise ValueError("Special tokens that take in spaces or normalized text are not supported.")
         self.special: dict[str, int] = {t["content"]: t["id"] for t in told["added_tokens"]}
@@ -51,60 +66,87 @@ class Vocabulary:
         for token, number in [*self.ids.items(), *self.special.items()]:
             self.tokens[number] = token
 
-    def rank(self, left: str, right: str) -> int:
-        return self.ranks.get((left, right), _NEVER)
-
-    def merge(self, word: str) -> list[int]:
-        """The ids of one word, given as byte-level characters."""
-        if not word:
-            return []
-        parts = self._by_scan(word + self.end, len(word)) if len(word) <= SHORT_WORD else self._by_heap(word)
-        return [self.ids[p] for p in parts if p in self.ids]
-
-    def _by_scan(self, marked: str, symbols: int) -> list[str]:
-        bounds = [*range(symbols), len(marked)]     # the last symbol carries the word's end
-
-        def rank(i: int) -> int:
-            return self.rank(marked[bounds[i]:bounds[i + 1]], marked[bounds[i + 1]:bounds[i + 2]])
-
-        adjacent = [rank(i) for i in range(symbols - 1)]
-        while adjacent:
-            least = min(adjacent)
-            if least == _NEVER:
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of joining each left part with its right one, or _NEVER."""
+        wanted = left.astype(np.int64) << 32 | right
+        place = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[place] == wanted, self.rank_of[place], _NEVER)
+
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """The ids (32-bit numbers, as bytes) of each word."""
+        found: list[bytes] = [b""] * len(words)
+        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        width = 8
+        while width < 2 * SHORT_WORD:
+            # Words of like length share an array, so that short ones are not filled up to the longest.
+            least, most = (0 if width == 8 else width // 2), min(width, SHORT_WORD)
+            own = np.flatnonzero((size > least) & (size <= most))
+            for begin in range(0, len(own), WORDS_AT_ONCE):
+                some = own[begin:begin + WORDS_AT_ONCE]
+                for k, ids in zip(some.tolist(), self._by_scan([words[k] for k in some.tolist()], size[some], most)):
+                    found[k] = ids
+            width *= 2
+        for k in np.flatnonzero(size > SHORT_WORD).tolist():
+            found[k] = self._by_heap(words[k])
+        return found
+
+    def _by_scan(self, words: list[bytes], size: np.ndarray, width: int) -> list[bytes]:
+        """`parts` has a row of boundaries for each word, given as the part behind it; `ranks` the adjacent ranks."""
+        column = np.arange(width)
+        there = column < size[:, None]
+        parts = np.zeros((len(words), width), dtype=np.int32)
+        parts[there] = self.inner[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        parts[np.arange(len(words)), size - 1] = self.final[np.array([w[-1] for w in words])]
+        ranks = np.full((len(words), width), _NEVER, dtype=np.int32)
+        ranks[:, :-1] = np.where(there[:, 1:], self.ranks(parts[:, :-1], parts[:, 1:]), _NEVER)
+        done, left = np.zeros_like(parts), size.copy()
+        rows, many = np.arange(len(words)), size.copy()
+        while len(rows):
+            own = np.arange(len(rows))
+            at = ranks.argmin(axis=1)
+            least = ranks[own, at]
+            open_ = least < _NEVER
+            if not open_.all():
+                done[rows[~open_]], left[rows[~open_]] = parts[~open_], many[~open_]
+                rows, many, parts, ranks, at, least = rows[open_], many[open_], parts[open_], ranks[open_], at[open_], least[open_]
+                own = own[:len(rows)]
+            if not len(rows):
                 break
-            i = adjacent.index(least)
-            del bounds[i + 1], adjacent[i]
-            if i < len(adjacent):
-                adjacent[i] = rank(i)
-            if i:
-                adjacent[i - 1] = rank(i - 1)
-        return [marked[a:b] for a, b in zip(bounds, bounds[1:])]
-
-    def _by_heap(self, word: str) -> list[str]:
-        parts: list[str | None] = [*word[:-1], word[-1] + self.end]
+            parts[own, at] = self.joined[least]
+            gone = at[:, None]
+            parts = np.take_along_axis(parts, np.minimum(column + (column > gone), width - 1), axis=1)
+            ranks = np.take_along_axis(ranks, np.minimum(column + (column >= gone), width - 1), axis=1)
+            many = many - 1
+            after = np.minimum(at + 1, width - 1)
+            ranks[own, at] = np.where(at + 1 < many, self.ranks(parts[own, at], parts[own, after]), _NEVER)
+            later = np.flatnonzero(at)
+            ranks[later, at[later] - 1] = self.ranks(parts[later, at[later] - 1], parts[later, at[later]])
+        flat, ends = done[column < left[:, None]].tobytes(), np.cumsum(4 * left).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _by_heap(self, word: bytes) -> bytes:
+        parts = self.inner[np.frombuffer(word, dtype=np.uint8)].tolist()
+        parts[-1] = int(self.final[word[-1]])
         after, before = [*range(1, len(parts)), -1], [*range(-1, len(parts) - 1)]
-        heap: list[tuple[int, int, str, str]] = []
-
-        def offer(i: int) -> None:
-            k = after[i]
-            if k >= 0 and (rank := self.rank(parts[i], parts[k])) < _NEVER:
-                heapq.heappush(heap, (rank, i, parts[i], parts[k]))
-
-        for i in range(len(parts) - 1):
-            offer(i)
+        first = self.ranks(np.array(parts[:-1], dtype=np.int32), np.array(parts[1:], dtype=np.int32)).tolist()
+        heap = [(rank, i, parts[i] << 32 | parts[i + 1]) for i, rank in enumerate(first) if rank < _NEVER]
+        heapq.heapify(heap)
         while heap:
-            _, i, left, right = heapq.heappop(heap)
+            rank, i, pair = heapq.heappop(heap)
             k = after[i]
-            if parts[i] != left or k < 0 or parts[k] != right:
+            if parts[i] is None or k < 0 or parts[i] << 32 | parts[k] != pair:
                 continue                            # one of the two has been joined since
-            parts[i], parts[k] = left + right, None
+            parts[i], parts[k] = int(self.joined[rank]), None
             after[i] = after[k]
             if after[k] >= 0:
                 before[after[k]] = i
-            offer(i)
-            if before[i] >= 0:
-                offer(before[i])
-        return [p for p in parts if p is not None]
+            for left in (before[i], i):
+                right = after[left] if left >= 0 else -1
+                if right >= 0:
+                    rank = int(self.ranks(np.array([parts[left]], dtype=np.int32), np.array([parts[right]], dtype=np.int32))[0])
+                    if rank < _NEVER:
+                        heapq.heappush(heap, (rank, left, parts[left] << 32 | parts[right]))
+        return array("i", [p for p in parts if p is not None]).tobytes()
 
     def text(self, numbers: np.ndarray) -> str:
         """The tokens joined by spaces, as the file names no decoder; numbers that are no ids are left out."""
@@ -112,8 +154,8 @@ class Vocabulary:
         return " ".join(t for t in self.tokens[known].tolist() if t is not None)
 
 
-class Encoder(dict):
-    """Ids (little-endian signed 32-bit, as bytes) of texts without white space, remembered up to a bound.
+class Encoder:
+    """Ids (32-bit numbers, as bytes) of texts; those of parts without white space are remembered up to a bound.
 
     Parts of plain letters, digits and marks are normalized and cut here; for all others the file's own normalizer and
     pattern are asked. The joining is the same for both.
@@ -123,51 +165,53 @@ class Encoder(dict):
     CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
     def __init__(self, path: str):
-        super().__init__()
         self.vocabulary = Vocabulary(path)
         self.library = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.vocabulary.special, key=len, reverse=True))) + ")")
-        self.starts = {s[:2] for s in self.vocabulary.special}
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = iter(range(256, 512))
-        self.byte_level = [chr(b) if b in printable else chr(next(rest)) for b in range(256)]
-
-    def word(self, word: str) -> bytes:
-        known = self.words.get(word)
-        if known is None:
-            if len(self.words) >= _MOST_CACHED:
-                self.words.clear()
-            known = self.words[word] = np.array(self.vocabulary.merge(word), dtype="<i4").tobytes()
-        return known
-
-    def segment(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.PLAIN.fullmatch(text):
-            words = self.CUT.findall(text.lower())
-            if not text.isascii():
-                words = ["".join(self.byte_level[b] for b in w.encode()) for w in words]
-        else:
-            cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
-            words = [w for w, _ in cut]
-        return b"".join(map(self.word, words))
-
-    def __missing__(self, part: str) -> bytes:
-        if len(self) >= _MOST_CACHED:
-            self.clear()
-        if self.vocabulary.special and any(s in part for s in self.starts):
-            value = b"".join(np.array([self.vocabulary.special[s]], dtype="<i4").tobytes() if s in self.vocabulary.special
-                             else self.segment(s) for s in self.special.split(part))
-        else:
-            value = self.segment(part)
-        if len(part) <= SHORT_WORD:
-            self[part] = value
-        return value
-
-    def of(self, text: str) -> bytes:
-        parts = _SPACE.split(text) if _PYTHON_ONLY.search(text) else text.split()
-        return b"".join(map(self.__getitem__, filter(None, parts)))
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        special = self.vocabulary.special
+        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)")
+
+    def cut(self, part: str) -> list[bytes]:
+        """The words of a part without special tokens, as bytes."""
+        if self.PLAIN.fullmatch(part):
+            return [w.encode() for w in self.CUT.findall(part.lower())]
+        byte_of = self.vocabulary.byte_of
+        cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))
+        return [bytes(byte_of[c] for c in w) for w, _ in cut]
+
+    def learn(self, parts: Iterable[str]) -> None:
+        """Ids of all these parts, their new words joined together."""
+        cut: dict[str, list[bytes]] = {}
+        for part in parts:
+            cut[part] = words = []
+            begin = 0
+            for m in self.special.finditer(part):
+                words += self.cut(part[begin:m.start()]) if begin < m.start() else []
+                words.append(_SPECIAL + m[0].encode())
+                begin = m.end()
+            words += self.cut(part[begin:]) if begin < len(part) else []
+        wanted = set().union(*cut.values())
+        if len(self.words) + len(wanted) > _MOST_CACHED:
+            self.words = {}
+        new = [w for w in wanted if w not in self.words]
+        ordinary = [w for w in new if not w.startswith(_SPECIAL)]
+        self.words |= zip(ordinary, self.vocabulary.merge(ordinary))
+        for w in new:
+            if w.startswith(_SPECIAL):
+                self.words[w] = array("i", [self.vocabulary.special[w[len(_SPECIAL):].decode()]]).tobytes()
+        known = self.words.__getitem__
+        for part, words in cut.items():
+            self.parts[part] = b"".join(map(known, words))
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        split = [_SPACE.split(t) if _PYTHON_ONLY.search(t) else t.split() for t in texts]
+        wanted = set().union(*split) - {""}
+        if len(self.parts) + len(wanted) > _MOST_CACHED:
+            self.parts = {}
+        self.learn(wanted - self.parts.keys())
+        known = self.parts.__getitem__
+        return [b"".join(map(known, filter(None, parts))) for parts in split]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -185,23 +229,24 @@ def encode(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str |
 
     Null and empty texts have no ids (an empty array). Every row gives one row, repeated rows and null ids too; other
     columns are not read, whatever their names; an empty table gives none. No shuffle; a task holds one batch of texts,
-    cut into batches of IDS_AT_ONCE ids on the way out, and its bounded memory of words.
+    cut LETTERS_AT_ONCE letters at a time, and its bounded memory of parts and words.
     """
     place = path or public_tokenizers.path(VOCABULARY)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(place)
         for batch in batches:
-            found: list[bytes] = []
-            begin = held = 0
+            held: list[str] = []
+            begin = letters = 0
             for row, content in enumerate(texts_of(batch.column(1))):
-                found.append(own.of((content or b"").decode()))
-                held += len(found[-1]) // 4
-                if held >= IDS_AT_ONCE or row == batch.num_rows - 1:
+                held.append((content or b"").decode())
+                letters += len(held[-1])
+                if letters >= LETTERS_AT_ONCE or row == batch.num_rows - 1:
+                    found = own.of(held)
                     offsets = np.cumsum([0, *map(len, found)]) // 4
-                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype="<i4")))
+                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(found)), lists], names=[id, ids])
-                    begin, held, found = row + 1, 0, []
+                    begin, letters, held = row + 1, 0, []
 
     kind = docs.select(id).schema[0].dataType.simpleString()
     return docs.select(id, text).mapInArrow(cut, f"`{id}` {kind}, `{ids}` array<int>")

@@ -31,9 +31,10 @@ def hostile(n, seed):
 
 def test_ids_and_texts_are_those_of_the_library(library):
     own = bpe.Encoder(PATH)
-    for text in [*hostile(8_000, 11), *(t or "" for t in edge_texts())]:
+    texts = [*hostile(8_000, 11), *(t or "" for t in edge_texts())]
+    for text, ids in zip(texts, own.of(texts)):
         want = library.encode(text, add_special_tokens=False).ids
-        got = np.frombuffer(own.of(text), dtype="<i4")
+        got = np.frombuffer(ids, dtype=np.int32)
         assert got.tolist() == want, text
         assert own.vocabulary.text(got) == library.decode(want, skip_special_tokens=False)
 
@@ -42,22 +43,24 @@ def test_scan_and_heap_agree(library, monkeypatch):
     rng = random.Random(5)
     words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(1, 90))) for _ in range(400)] + ["a" * 5_000, "ab" * 3_000]
     vocabulary = bpe.Vocabulary(PATH)
-    by_rule = [vocabulary.merge(w) for w in words]
-    monkeypatch.setattr(bpe, "SHORT_WORD", 0)
-    assert [vocabulary.merge(w) for w in words] == by_rule
-    assert by_rule == [[t.id for t in library.model.tokenize(w)] for w in words]
+    by_rule = vocabulary.merge([w.encode() for w in words])
+    assert [vocabulary._by_heap(w.encode()) for w in words] == by_rule
+    assert [np.frombuffer(x, dtype=np.int32).tolist() for x in by_rule] == [[t.id for t in library.model.tokenize(w)] for w in words]
+    monkeypatch.setattr(bpe, "WORDS_AT_ONCE", 7)
+    assert vocabulary.merge([w.encode() for w in words]) == by_rule and vocabulary.merge([]) == []
 
 
 def test_bounded_memory_of_words(library, monkeypatch):
     monkeypatch.setattr(bpe, "_MOST_CACHED", 3)
     own = bpe.Encoder(PATH)
-    text = " ".join(f"word{k % 7} Other{k}" for k in range(60))
-    assert np.frombuffer(own.of(text), dtype="<i4").tolist() == library.encode(text, add_special_tokens=False).ids
-    assert len(own) <= 3 and len(own.words) <= 3
+    texts = [" ".join(f"word{k % 7} Other{k}" for k in range(n, n + 3)) for n in range(40)]
+    for text in texts:
+        assert np.frombuffer(own.of([text])[0], dtype=np.int32).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(own.parts) <= 6 and len(own.words) <= 12
 
 
 def test_table_with_nulls_repeats_long_texts_and_clashing_names(spark, library, monkeypatch):
-    monkeypatch.setattr(bpe, "IDS_AT_ONCE", 1_000)
+    monkeypatch.setattr(bpe, "LETTERS_AT_ONCE", 1_000)
     texts = [*edge_texts(), "same", "same"]
     rows = [(k, t, "en", 1, "x") for k, t in enumerate(texts)] + [(len(texts) - 1, "same", "en", 1, "x"), (None, "lost id", "en", 1, "x")]
     encoded = bpe.encode(documents(spark, rows, ", ids int, piece string"))
