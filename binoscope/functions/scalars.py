@@ -97,3 +97,11 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     condition = reduce(lambda a, b: a & b, [matches(k) for k in keys])
     joined = left.join(renamed, condition, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__{k}" for k in keys])
+
+
+def same_keys_full(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer join in which a null key equals a null key; the keys come from whichever side has the row."""
+    mine, theirs = left.withColumn("__left", F.lit(True)), right.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    joined = mine.join(theirs, reduce(lambda a, b: a & b, [mine[k].eqNullSafe(theirs[f"__{k}"]) for k in keys]), "full_outer")
+    own = [F.when(F.col("__left").isNotNull(), F.col(k)).otherwise(F.col(f"__{k}")).alias(k) for k in keys]
+    return joined.select(*own, *[c for c in (*left.columns, *right.columns) if c not in keys])

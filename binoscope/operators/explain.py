@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binoscope.functions.hashing import hash_hex
-from binoscope.functions.scalars import close_to, melt, same_keys, sigmoid
+from binoscope.functions.scalars import close_to, melt, same_keys, same_keys_full, sigmoid
 from binoscope.operators.metrics import score_curve, _ap
 from binoscope.operators.order import hash_rank
 
@@ -103,8 +103,12 @@ def explained_probability(total, units: str = "log-odds") -> Column:
 
 def check_additive(contributions: DataFrame, base: float, expected: DataFrame, id: str = "id", units: str = "log-odds",
                    rtol: float = ADD_RTOL, atol: float = ADD_ATOL) -> DataFrame:
-    """Per row: base + contributions, its probability, and whether it reproduces `expected(id, output)`."""
+    """Per row: base + contributions, its probability, and whether it reproduces `expected(id, output)`.
+
+    An id that only one side has is not additive: its total or the output it should reproduce is missing.
+    """
     sums = contributions.groupBy(id).agg(F.sum("contribution").alias("s")).withColumn("total", F.col("s") + F.lit(float(base)))
-    joined = same_keys(sums, expected, [id])
+    joined = same_keys_full(sums, expected.select(id, "output"), [id])
     return joined.select(id, "total", explained_probability("total", units).alias("probability"),
-                         close_to("total", "output", rtol, atol).alias("additive"))
+                         (F.col("total").isNotNull() & F.col("output").isNotNull()
+                          & F.coalesce(close_to("total", "output", rtol, atol), F.lit(False))).alias("additive"))

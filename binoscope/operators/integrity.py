@@ -4,22 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from binoscope.functions.scalars import close_to, count_where, finite, same_keys
+from binoscope.functions.scalars import close_to, count_where, finite, same_keys, same_keys_full
 from binoscope.operators.metrics import evaluate
 
 # Comparison tolerances of regenerated results.
 RTOL, ATOL = 1e-6, 1e-9
 
 
+def _surplus(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows one side has more often than the other, how often each key occurs on either side).
+
+    Equal rows cancel out in one grouping with map-side sums, so copies of a row never meet in one task.
+    """
+    sides = old.select("*", F.lit(1).alias("__o"), F.lit(0).alias("__n")).unionByName(new.select("*", F.lit(0).alias("__o"), F.lit(1).alias("__n")))
+    net = sides.groupBy(*old.columns).agg(F.sum("__o").alias("__o"), F.sum("__n").alias("__n"))
+    per_key = net.groupBy(*keys).agg(F.sum("__o").alias("__old_rows"), F.sum("__n").alias("__new_rows"))
+    return net.where(F.col("__o") != F.col("__n")), per_key
+
+
+def _numbered(surplus: DataFrame, more: str, less: str, keys: Sequence[str], values: Sequence[str], prefix: str) -> DataFrame:
+    """The rows of one side, as often as it has more of them, numbered within their key in the order of their values."""
+    copies = F.explode(F.sequence(F.lit(1), F.col(more) - F.col(less)))
+    rows = surplus.where(F.col(more) > F.col(less)).withColumn("__copy", copies)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(v) for v in values] or [F.lit(1)]))
+    return rows.select(*keys, place.alias("__place"), F.lit(True).alias(f"{prefix}__there"), *[F.col(v).alias(f"{prefix}_{v}") for v in values])
+
+
 def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], rtol: float = RTOL, atol: float = ATOL) -> DataFrame:
     """One row per differing column: (column, problem, n_rows); numbers within tolerance and two nulls are equal.
 
-    Columns are compared first, then keys only one side has, then values, all from one full outer join by key.
-    Keys must be unique on both sides.
+    Columns are compared first, then rows as a multiset. Rows that are equal cancel out; what is left of a key is matched in
+    the order of its values. A key that only one side has gives missing or unexpected rows, one that both have in different
+    numbers gives "repeated keys" for the rows without a partner. A table never differs from itself.
     """
     if list(old.columns) != list(new.columns):
         names = sorted(set(old.columns) ^ set(new.columns)) or list(new.columns)
@@ -28,24 +48,23 @@ def table_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], rtol: float
     values = [c for c in old.columns if c not in keys]
     numeric = {c for c in values if isinstance(old.schema[c].dataType, T.NumericType)
                and isinstance(new.schema[c].dataType, T.NumericType)}
-    left = old.select(*keys, F.lit(True).alias("__old"), *[F.col(c).alias(f"o_{c}") for c in values])
-    right = new.select(*[F.col(k).alias(f"__{k}") for k in keys], F.lit(True).alias("__new"),
-                       *[F.col(c).alias(f"n_{c}") for c in values])
-    condition = [left[k].eqNullSafe(right[f"__{k}"]) for k in keys]
-    both = left.join(right, condition, "full_outer")
-    matched = F.col("__old").isNotNull() & F.col("__new").isNotNull()
+    surplus, per_key = _surplus(old, new, keys)
+    both = same_keys_full(_numbered(surplus, "__o", "__n", keys, values, "o"), _numbered(surplus, "__n", "__o", keys, values, "n"), [*keys, "__place"])
+    both = same_keys(both, per_key, keys, "left")
+    matched = F.col("o__there").isNotNull() & F.col("n__there").isNotNull()
+    shared = (F.col("__old_rows") > 0) & (F.col("__new_rows") > 0)
 
     def differs(c: str) -> Column:
         same = close_to(f"o_{c}", f"n_{c}", rtol, atol) if c in numeric else F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))
         return count_where(matched & ~same)
 
-    counted = both.agg(count_where(F.col("__new").isNull()).alias("missing"), count_where(F.col("__old").isNull()).alias("extra"),
-                       *[differs(c).alias(f"d_{i}") for i, c in enumerate(values)])
-    key_names = ",".join(keys)
-    rows = [F.struct(F.lit(key_names).alias("column"), F.lit("missing rows").alias("problem"), F.col("missing").alias("n_rows")),
-            F.struct(F.lit(key_names).alias("column"), F.lit("unexpected rows").alias("problem"), F.col("extra").alias("n_rows"))]
-    rows += [F.struct(F.lit(c).alias("column"), F.lit("values differ").alias("problem"), F.col(f"d_{i}").alias("n_rows"))
-             for i, c in enumerate(values)]
+    counted = both.agg(count_where(F.col("n__there").isNull() & ~shared).alias("missing"),
+                       count_where(F.col("o__there").isNull() & ~shared).alias("extra"),
+                       count_where(~matched & shared).alias("repeated"), *[differs(c).alias(f"d_{i}") for i, c in enumerate(values)])
+    names = ",".join(keys)
+    told = [(names, "missing rows", "missing"), (names, "unexpected rows", "extra"), (names, "repeated keys", "repeated"),
+            *[(c, "values differ", f"d_{i}") for i, c in enumerate(values)]]
+    rows = [F.struct(F.lit(column).alias("column"), F.lit(problem).alias("problem"), F.col(n).alias("n_rows")) for column, problem, n in told]
     return counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where(F.col("n_rows") > 0)
 
 
@@ -118,9 +137,26 @@ def set_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return seen.where(F.col("a") != F.col("b")).select(key, F.when(F.col("a") == 1, "missing").otherwise("unexpected").alias("problem"))
 
 
-def cell_text(column: str, kind: T.DataType) -> Column:
-    """One cell as text behind its length, so that cells in a row cannot run into each other; null is a mark of its own."""
-    text = F.col(column).cast("string") if isinstance(kind, T.AtomicType) else F.to_json(F.struct(F.col(column).alias("v")))
+def cell_text(cell: Column, kind: T.DataType) -> Column:
+    """A cell as text behind its length, so that neighbours cannot run into each other; null is a mark of its own.
+
+    Nested cells are written element by element, by their types: instants as microseconds since 1970 whatever the session's
+    time zone, map entries in sorted order, binary as hex digits.
+    """
+    if isinstance(kind, T.StructType):
+        parts = F.concat(F.lit(""), *[cell_text(cell[f.name], f.dataType) for f in kind.fields])
+        text = F.when(cell.isNotNull(), parts)
+    elif isinstance(kind, T.ArrayType):
+        text = F.array_join(F.transform(cell, lambda x: cell_text(x, kind.elementType)), "")
+    elif isinstance(kind, T.MapType):
+        entries = F.transform(F.map_entries(cell), lambda e: F.concat(cell_text(e["key"], kind.keyType), cell_text(e["value"], kind.valueType)))
+        text = F.array_join(F.array_sort(entries), "")
+    elif isinstance(kind, T.TimestampType):
+        text = F.unix_micros(cell).cast("string")
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(cell)
+    else:
+        text = cell.cast("string")
     return F.coalesce(F.concat(F.length(text).cast("string"), F.lit("="), text), F.lit("~"))
 
 
@@ -129,7 +165,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
     The digest holds the sums of the four 32-bit parts of the rows' md5.
     """
-    cells = [cell_text(f.name, f.dataType) for f in df.schema.fields]
+    cells = [cell_text(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
     row = F.md5(F.concat_ws("|", *cells))
     sums = [F.coalesce(F.sum(F.conv(F.substring(row, at, 8), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("string") for at in (1, 9, 17, 25)]
     columns = "|".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)

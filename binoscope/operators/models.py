@@ -6,25 +6,26 @@ The feature part of a pipeline holds only transformers: its statistics are compu
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binoscope.functions.scalars import melt
+from binoscope.functions.scalars import melt, sigmoid
+from binoscope.operators import boost, newton
 from binoscope.operators.checks import normalize_missing
 from binoscope.operators.metrics import check_threshold, label_at
 from binoscope.operators.order import exact_quantiles
-from binoscope.operators.prepare import EMPTY_LEVEL, fit_statistics, modes_and_levels, ratio_features
+from binoscope.operators.prepare import EMPTY_LEVEL, fit_statistics, modes_and_levels, ratio_features, row_mean
 from binoscope.operators.split import stratified_folds
 from binoscope.session import materialize
 
@@ -34,19 +35,32 @@ PARALLEL_FITS = 4
 
 @dataclass(frozen=True)
 class Features:
-    """What goes into a model: numeric and categorical columns, and formulas name -> (a, b, shift) = a / (b + shift)."""
+    """What goes into a model: numeric and categorical columns, and engineered ones.
+
+    formulas: name -> (a, b, shift) = a / (b + shift); means: name -> columns, the mean of their present cells. Their
+    sources are read whether or not they are features themselves.
+    """
 
     numeric: tuple[str, ...]
     categorical: tuple[str, ...]
     formulas: Mapping[str, tuple[str, str, float]] = field(default_factory=dict)
+    means: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
 
     def without(self, exclude: Sequence[str]) -> Features:
-        return replace(self, numeric=tuple(c for c in self.numeric if c not in exclude),
-                       categorical=tuple(c for c in self.categorical if c not in exclude))
+        """Without these features, engineered ones included; an excluded source still feeds the formulas that use it."""
+        return Features(*[tuple(c for c in own if c not in exclude) for own in (self.numeric, self.categorical)],
+                        *[{n: v for n, v in own.items() if n not in exclude} for own in (self.formulas, self.means)])
+
+    @property
+    def numbers(self) -> list[str]:
+        """All numeric features, engineered ones last."""
+        return [*self.numeric, *self.formulas, *self.means]
 
     @property
     def columns(self) -> list[str]:
-        return [*self.numeric, *self.categorical]
+        """The columns that are read."""
+        sources = [c for a, b, _ in self.formulas.values() for c in (a, b)] + [c for own in self.means.values() for c in own]
+        return list(dict.fromkeys([*self.numeric, *self.categorical, *sources]))
 
 
 @dataclass(frozen=True)
@@ -74,10 +88,10 @@ def forest(trees: int = 250, depth: int = 7, leaf: int = 5, features: str = "sqr
     return ModelPlan(name, "random_forest", {"trees": trees, "depth": depth, "leaf": leaf, "features": features}, balanced=balanced)
 
 
-def boosting(rounds: int = 150, rate: float = 0.05, leaves: int = 7, leaf: int = 20, balanced: bool = False,
+def boosting(rounds: int = 150, rate: float = 0.05, leaves: int = 7, leaf: int = 20, l2: float = 0.0, balanced: bool = False,
              name: str = "gradient_boosting") -> ModelPlan:
-    """Spark grows levels, not leaves: the depth is the least that holds `leaves` leaves."""
-    return ModelPlan(name, "gradient_boosting", {"rounds": rounds, "rate": rate, "leaves": leaves, "leaf": leaf}, balanced=balanced)
+    """Trees of at most `leaves` leaves, the best split first; `l2` penalises leaf values."""
+    return ModelPlan(name, "gradient_boosting", {"rounds": rounds, "rate": rate, "leaves": leaves, "leaf": leaf, "l2": l2}, balanced=balanced)
 
 
 def candidates(trees: int = 250, rounds: int = 150) -> list[ModelPlan]:
@@ -114,7 +128,40 @@ class FittedModel:
         self.pipeline.write().save(path)
 
 
+@dataclass
+class FittedBooster(FittedModel):
+    """A boosted model: the pipeline makes the engineered columns, the booster reads the raw ones."""
+
+    booster: boost.Booster | None = None
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return self.margin(df).select(*[F.col(f"`{c}`") for c in df.columns if c != "p"], sigmoid(F.col("margin")).alias("p"))
+
+    def margin(self, df: DataFrame) -> DataFrame:
+        made = self.booster.margin(self.pipeline.transform(df), "__margin")
+        return made.select(*[F.col(f"`{c}`") for c in df.columns if c != "margin"], F.col("__margin").alias("margin"))
+
+    @property
+    def estimator(self):
+        return self.booster
+
+    def name_of_stage(self) -> str:
+        return type(self.booster).__name__
+
+    def save(self, path: str) -> None:
+        super().save(path)
+        self.booster.save(SparkSession.active(), f"{path.rstrip('/')}/{BOOSTER}")
+
+
+BOOSTER = "booster"
+
+
 def load_model(name: str, path: str, feature_names: Sequence[str] = ()) -> FittedModel:
+    spark = SparkSession.active()
+    place = f"{path.rstrip('/')}/{BOOSTER}"
+    there = spark._jvm.org.apache.hadoop.fs.Path(place)
+    if there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there):
+        return FittedBooster(name, PipelineModel.load(path), list(feature_names), boost.Booster.load(spark, place))
     return FittedModel(name, PipelineModel.load(path), list(feature_names))
 
 
@@ -129,7 +176,10 @@ def _sql_text(value: str) -> str:
 def with_formulas(df: DataFrame, features: Features) -> DataFrame:
     """NaN to null on the numerics, then the engineered columns."""
     clean = normalize_missing(df)
-    return ratio_features(clean, features.formulas) if features.formulas else clean
+    clean = ratio_features(clean, features.formulas) if features.formulas else clean
+    for name, columns in features.means.items():
+        clean = row_mean(clean, columns, name)
+    return clean
 
 
 def statistics_by_fold(df: DataFrame, features: Features, folds: int, fold: str = "fold") -> dict[object, dict[str, dict]]:
@@ -138,7 +188,7 @@ def statistics_by_fold(df: DataFrame, features: Features, folds: int, fold: str
     Each fold's entry is learned from the rows outside it; O(folds x features) numbers reach the driver.
     """
     ready = with_formulas(df, features)
-    tables = fit_statistics(ready, [*features.numeric, *features.formulas], features.categorical, folds, fold)
+    tables = fit_statistics(ready, features.numbers, features.categorical, folds, fold)
     found: dict[object, dict[str, dict]] = {}
     for row in tables["numeric"].collect() if "numeric" in tables else []:
         found.setdefault(row[fold], {}).setdefault("numeric", {})[row["feature"]] = (row["median"], row["mean"], row["scale"])
@@ -151,7 +201,7 @@ def statistics_of(df: DataFrame, features: Features) -> dict[str, dict]:
     """The same statistics from all the given rows."""
     ready = with_formulas(df, features)
     found: dict[str, dict] = {}
-    numeric = [*features.numeric, *features.formulas]
+    numeric = features.numbers
     if numeric:
         long = melt(ready, [], numeric)
         medians = {r["feature"]: r["median"] for r in exact_quantiles(long, ["feature"], "value", {"median": 0.5}).collect()}
@@ -164,13 +214,23 @@ def statistics_of(df: DataFrame, features: Features) -> dict[str, dict]:
     return found
 
 
-def feature_stages(features: Features, statistics: Mapping[str, dict], scale: bool) -> tuple[list, list[str]]:
-    """Transformers from raw columns to `features`, and the readable name of every vector slot."""
-    numeric = [*features.numeric, *features.formulas]
+def engineering_stage(features: Features) -> SQLTransformer | None:
+    """The engineered columns as a projection of the raw ones, or None without any."""
     made = []
     for name, (a, b, shift) in features.formulas.items():
         made.append(f"try_divide(try_cast(CAST(`{a}` AS STRING) AS DOUBLE), try_cast(CAST(`{b}` AS STRING) AS DOUBLE) "
                     f"+ {_sql_number(shift)}) AS `{name}`")
+    for name, columns in features.means.items():
+        cells = [f"nanvl(CAST(`{c}` AS DOUBLE), NULL)" for c in columns]
+        total = " + ".join(f"coalesce({c}, CAST(0 AS DOUBLE))" for c in cells)
+        present = " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in cells)
+        made.append(f"try_divide({total}, {present}) AS `{name}`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__") if made else None
+
+
+def feature_stages(features: Features, statistics: Mapping[str, dict], scale: bool) -> tuple[list, list[str]]:
+    """Transformers from raw columns to `features`, and the readable name of every vector slot."""
+    numeric, engineered = features.numbers, engineering_stage(features)
     cells = []
     for name in numeric:
         median, mean, spread = statistics["numeric"][name]
@@ -180,9 +240,7 @@ def feature_stages(features: Features, statistics: Mapping[str, dict], scale: bo
     for name in features.categorical:
         mode, levels = statistics["categorical"][name]
         cells.append(f"coalesce(`{name}`, {_sql_text(mode)}) AS `{name}__c`")
-    stages: list = []
-    if made:
-        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__"))
+    stages: list = [engineered] if engineered else []
     stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(cells)} FROM __THIS__"))
     names, inputs = list(numeric), [f"{c}__x" for c in numeric]
     if features.categorical:
@@ -199,21 +257,67 @@ def feature_stages(features: Features, statistics: Mapping[str, dict], scale: bo
     return stages, names
 
 
-def _estimator(plan: ModelPlan, n: int, seed: int):
-    shared = {"featuresCol": "features", "labelCol": "y"}
-    if plan.balanced:
-        shared["weightCol"] = "__weight"
+def _forest(plan: ModelPlan, seed: int) -> RandomForestClassifier:
     p = plan.params
-    if plan.family == "logistic_regression":
-        return LogisticRegression(regParam=1.0 / (float(p["C"]) * n), elasticNetParam=0.0, standardization=False,
-                                  maxIter=2000, tol=1e-6, **shared)
-    if plan.family == "random_forest":
-        return RandomForestClassifier(numTrees=int(p["trees"]), maxDepth=int(p["depth"]), minInstancesPerNode=int(p["leaf"]),
-                                      featureSubsetStrategy=str(p["features"]), seed=seed, **shared)
-    if plan.family == "gradient_boosting":
-        return GBTClassifier(maxIter=int(p["rounds"]), stepSize=float(p["rate"]), minInstancesPerNode=int(p["leaf"]),
-                             maxDepth=max(1, math.ceil(math.log2(int(p["leaves"])))), seed=seed, **shared)
-    raise ValueError(f"Unknown model family {plan.family!r}.")
+    weight = {"weightCol": "__weight"} if plan.balanced else {}
+    return RandomForestClassifier(featuresCol="features", labelCol="y", numTrees=int(p["trees"]), maxDepth=int(p["depth"]),
+                                  minInstancesPerNode=int(p["leaf"]), featureSubsetStrategy=str(p["features"]), seed=seed, **weight)
+
+
+def _with_coefficients(spark: SparkSession, values: Sequence[float]) -> LogisticRegressionModel:
+    """A Spark ML model of a solved regression: the intercept first, then the coefficients."""
+    jvm = spark._jvm
+    vector = jvm.org.apache.spark.ml.linalg.Vectors.dense(float(values[1]), spark._sc._gateway.new_array(jvm.double, 0)) if len(values) == 2 else \
+        jvm.org.apache.spark.ml.linalg.Vectors.dense(float(values[1]), _doubles(spark, values[2:]))
+    made = LogisticRegressionModel(jvm.org.apache.spark.ml.classification.LogisticRegressionModel(f"newton_{uuid.uuid4().hex[:12]}", vector, float(values[0])))
+    return made
+
+
+def _doubles(spark: SparkSession, values: Sequence[float]):
+    array = spark._sc._gateway.new_array(spark._jvm.double, len(values))
+    for i, v in enumerate(values):
+        array[i] = float(v)
+    return array
+
+
+def _fitted_stages(rows: DataFrame, plan: ModelPlan, features: Features, statistics: Mapping[str, dict]) -> tuple[list, list[str], DataFrame]:
+    """Fitted feature transformers, slot names, and the transformed rows."""
+    stages, names = feature_stages(features, statistics, plan.scale)
+    fitted, made = [], rows
+    for stage in stages:
+        # The encoder reads the level counts from column metadata; no job runs.
+        stage = stage.fit(made) if isinstance(stage, OneHotEncoder) else stage
+        fitted.append(stage)
+        made = stage.transform(made)
+    return fitted, names, made
+
+
+def _solved(rows: DataFrame, plans: Sequence[tuple[ModelPlan, Features, int | None]], statistics: Mapping[int | None, Mapping[str, dict]],
+            counts: Mapping[int | None, Mapping[int, int]], fold: str | None = None) -> list[FittedModel]:
+    """Regressions over the same features, in common Newton passes."""
+    features = plans[0][1]
+    members = [newton.Member(float(plan.params["C"]), plan.balanced, held) for plan, _, held in plans]
+    found = newton.fit_logistics(with_formulas(rows, features), members, features.numbers, features.categorical, statistics, counts, fold)
+    models = []
+    for (plan, _, held), values in zip(plans, found):
+        fitted, names, _ = _fitted_stages(rows, plan, features, statistics[held])
+        models.append(FittedModel(plan.name, PipelineModel([*fitted, _with_coefficients(rows.sparkSession, values)]), names))
+    return models
+
+
+def _boosted(rows: DataFrame, plans: Sequence[tuple[ModelPlan, Features, int | None]], statistics: Mapping[int | None, Mapping[str, dict]],
+             counts: Mapping[int | None, Mapping[int, int]], fold: str | None = None) -> list[FittedModel]:
+    """Boosted models over the same features, in common passes."""
+    features = plans[0][1]
+    members = [boost.Member(int(p["rounds"]), float(p["rate"]), int(p["leaves"]), int(p["leaf"]), float(p.get("l2", 0)), plan.balanced, held)
+               for plan, _, held in plans for p in (plan.params,)]
+    found = boost.fit_boosters(with_formulas(rows, features), members, features.numbers, features.categorical, statistics, counts, fold)
+    engineered = engineering_stage(features)
+    return [FittedBooster(plan.name, PipelineModel([engineered] if engineered else []), [*features.numbers, *features.categorical], booster)
+            for (plan, _, _), booster in zip(plans, found)]
+
+
+TOGETHER = {"logistic_regression": _solved, "gradient_boosting": _boosted}
 
 
 def fit(train: DataFrame, plan: ModelPlan, features: Features, statistics: Mapping[str, dict] | None = None, seed: int = 42,
@@ -230,22 +334,20 @@ def fit(train: DataFrame, plan: ModelPlan, features: Features, statistics: Mappi
         return FittedModel(plan.name, PipelineModel([SQLTransformer(statement=f"SELECT *, {_sql_number(share)} AS p FROM __THIS__")]), [])
     if not (counts.get(0) and counts.get(1)):
         raise ValueError("Fitting needs both classes.")
-    if not features.columns:
+    if not (features.numbers or features.categorical):
         raise ValueError("Fitting needs at least one feature.")
     try:
         statistics = statistics_of(rows, features) if statistics is None else statistics
-        stages, names = feature_stages(features, statistics, plan.scale)
+        if plan.family in TOGETHER:
+            return TOGETHER[plan.family](rows, [(plan, features, None)], {None: statistics}, {None: counts})[0]
+        if plan.family != "random_forest":
+            raise ValueError(f"Unknown model family {plan.family!r}.")
         made = rows.withColumn("y", F.col("y").cast("double"))
         if plan.balanced:
             made = made.withColumn("__weight", F.when(F.col("y") == 1, n / (2 * counts[1])).otherwise(n / (2 * counts[0])))
-        fitted = []
-        for stage in stages:
-            # The encoder reads the level counts from column metadata; no job runs.
-            stage = stage.fit(made) if isinstance(stage, OneHotEncoder) else stage
-            fitted.append(stage)
-            made = stage.transform(made)
+        fitted, names, made = _fitted_stages(made, plan, features, statistics)
         keep = ["features", "y", "__weight"] if plan.balanced else ["features", "y"]
-        model = _estimator(plan, n, seed).fit(made.select(*keep))
+        model = _forest(plan, seed).fit(made.select(*keep))
         return FittedModel(plan.name, PipelineModel([*fitted, model]), names)
     finally:
         rows.unpersist()
@@ -288,13 +390,32 @@ def oof_scores(folded: DataFrame, plans: Sequence[ModelPlan], features: Features
             if plan.family != "prior" and id(of(plan)) not in known:
                 known[id(of(plan))] = statistics_by_fold(folded, of(plan), folds[-1] + 1)
 
-        def one(plan: ModelPlan, fold: int):
-            statistics = None if plan.family == "prior" else known[id(of(plan))].get(fold, {})
-            counts = {y: sum(n for (other, label), n in per_fold.items() if other != fold and label == y) for y in (0, 1)}
-            model = fit(folded.where(F.col("fold") != fold), plan, of(plan), statistics, seed, counts)
+        counts = {fold: {y: sum(n for (other, label), n in per_fold.items() if other != fold and label == y) for y in (0, 1)} for fold in folds}
+
+        def scored(model: FittedModel, plan: ModelPlan, fold: int) -> DataFrame:
             return model.score(folded.where(F.col("fold") == fold)).select(*keep, F.lit(plan.name).alias("model"), "p")
 
-        parts = in_parallel(folded.sparkSession, [lambda plan=plan, fold=fold: one(plan, fold) for plan in plans for fold in folds])
+        def one(plan: ModelPlan, fold: int) -> list[DataFrame]:
+            statistics = None if plan.family == "prior" else known[id(of(plan))].get(fold, {})
+            return [scored(fit(folded.where(F.col("fold") != fold), plan, of(plan), statistics, seed, counts[fold]), plan, fold)]
+
+        def together(family: str, own: list[ModelPlan]) -> list[DataFrame]:
+            asked = [(plan, of(plan), fold) for plan in own for fold in folds]
+            if any(not min(counts[fold].values()) for fold in folds):
+                raise ValueError("Fitting needs both classes.")
+            if not (asked[0][1].numbers or asked[0][1].categorical):
+                raise ValueError("Fitting needs at least one feature.")
+            models = TOGETHER[family](folded, asked, known[id(of(own[0]))], counts, "fold")
+            return [scored(model, plan, fold) for model, (plan, _, fold) in zip(models, asked)]
+
+        # Plans of one family over the same features share their passes over the rows, all folds at once.
+        groups: dict[tuple[str, int], list[ModelPlan]] = {}
+        for plan in plans:
+            if plan.family in TOGETHER:
+                groups.setdefault((plan.family, id(of(plan))), []).append(plan)
+        tasks = [lambda family=family, own=own: together(family, own) for (family, _), own in groups.items()]
+        tasks += [lambda plan=plan, fold=fold: one(plan, fold) for plan in plans if plan.family not in TOGETHER for fold in folds]
+        parts = [p for found in in_parallel(folded.sparkSession, tasks) for p in found]
         return materialize(reduce(DataFrame.unionByName, parts))
     finally:
         folded.unpersist()
@@ -314,18 +435,8 @@ def score_batch(df: DataFrame, model: FittedModel, threshold: float, run_id: str
 
 
 def fit_sigmoid(margins: DataFrame) -> tuple[float, float]:
-    """Slope and intercept of p = 1 / (1 + exp(-(a m + b))) with smoothed targets, from (margin, y).
-
-    A smoothed target t is two weighted rows, label 1 with weight t and label 0 with 1 - t.
-    """
-    counts = {r["y"]: r["n"] for r in margins.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    high, low = (counts.get(1, 0) + 1) / (counts.get(1, 0) + 2), 1 / (counts.get(0, 0) + 2)
-    target = F.when(F.col("y") == 1, high).otherwise(low)
-    pairs = margins.select("margin", F.explode(F.array(F.struct(F.lit(1.0).alias("y"), target.alias("w")),
-                                                       F.struct(F.lit(0.0).alias("y"), (1 - target).alias("w")))).alias("t"))
-    rows = VectorAssembler(inputCols=["margin"], outputCol="features").transform(pairs.select("margin", "t.*"))
-    model = LogisticRegression(featuresCol="features", labelCol="y", weightCol="w", regParam=0.0, maxIter=200).fit(rows.select("features", "y", "w"))
-    return float(model.coefficients[0]), float(model.intercept)
+    """Slope and intercept of p = 1 / (1 + exp(-(a m + b))) with smoothed targets, from (margin, y)."""
+    return newton.fit_sigmoids(margins.withColumn("__one", F.lit(1)), "__one")[1]
 
 
 def sigmoid_calibration(train: DataFrame, plan: ModelPlan, features: Features, folds: int = 3, seed: int = 42) -> Callable[[DataFrame], DataFrame]:
@@ -333,12 +444,17 @@ def sigmoid_calibration(train: DataFrame, plan: ModelPlan, features: Features, f
     inner = stratified_folds(train.drop("fold"), k=folds, seed=f"{seed}|calibration").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         statistics = statistics_by_fold(inner, features, folds)
-
-        def one(fold: int):
-            model = fit(inner.where(F.col("fold") != fold), plan, features, statistics[fold], seed)
-            return model, *fit_sigmoid(model.margin(inner.where(F.col("fold") == fold)).select("margin", "y"))
-
-        members = in_parallel(train.sparkSession, [lambda fold=fold: one(fold) for fold in range(folds)])
+        if plan.family in TOGETHER:
+            per_fold = {(r["fold"], r["y"]): r["n"] for r in inner.groupBy("fold", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+            counts = {fold: {y: sum(n for (other, label), n in per_fold.items() if other != fold and label == y) for y in (0, 1)} for fold in range(folds)}
+            fitted = TOGETHER[plan.family](inner, [(plan, features, fold) for fold in range(folds)], statistics, counts, "fold")
+        else:
+            fitted = in_parallel(train.sparkSession, [lambda fold=fold: fit(inner.where(F.col("fold") != fold), plan, features, statistics[fold], seed)
+                                                      for fold in range(folds)])
+        margins = reduce(DataFrame.unionByName, [model.margin(inner.where(F.col("fold") == fold)).select("fold", "margin", "y")
+                                                 for fold, model in enumerate(fitted)])
+        found = newton.fit_sigmoids(margins, "fold")
+        members = [(model, *found[fold]) for fold, model in enumerate(fitted)]
     finally:
         inner.unpersist()
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from binoscope.functions.scalars import same_keys
-from binoscope.operators import bootstrap, metrics, models, split
+from binoscope.operators import boost, bootstrap, metrics, models, split
 from binoscope.plans import bindings as B
+from binoscope.plans import sqlmodels as M
 from binoscope.plans import sqltext as S
 from binoscope.plans.catalog_tables import SPLIT
 from binoscope.plans.registry import register, rounded
@@ -28,6 +29,9 @@ def _holdout_metrics(spark, sf_dir, plan):
 
 # ---- training and scoring
 
+LOSS = ("avg(-CASE WHEN y = 1 THEN ln(greatest(2.220446049250313e-16, least(p, 1 - 2.220446049250313e-16))) "
+        "ELSE ln(1 - greatest(2.220446049250313e-16, least(p, 1 - 2.220446049250313e-16))) END)")
+
 @register("F1_prior_model", f"""WITH {S.LABELLED}, {SPLIT} SELECT id, round((SELECT avg(y) FROM split WHERE partition = 'train'), 6) + 0.0 AS p
   FROM split WHERE partition = 'test'""")
 def prior_model(spark, sf_dir):
@@ -35,38 +39,105 @@ def prior_model(spark, sf_dir):
     return rounded(models.fit(train, models.prior(), FEATURES).score(test).select("id", "p"))
 
 
-@register("F2_logistic")
+LEVELS = {"priority": B.CLS_SPEC.categories["priority"], "segment": B.CLS_SPEC.categories["segment"], "region": B.CLS_SPEC.categories["region"]}
+WIDTH = M.width(B.NUMERIC, LEVELS)
+# Training and holdout rows as the twins see them; the one training set has the number 0.
+SIDES = f"""{S.CLS_NULLS}, {M.PARTS}, train AS (SELECT *, 0 AS g FROM parts WHERE partition = 'train'),
+test AS (SELECT *, 0 AS g FROM parts WHERE partition = 'test')"""
+
+
+def _regression_sql(numeric=B.NUMERIC, categorical=LEVELS, balanced=False, name="scored") -> str:
+    """CTEs ending in `name`: (id, y, g, margin, p) of the holdout rows by the regression of the training rows."""
+    d = M.width(numeric, categorical)
+    return ",\n".join([SIDES, M.design("train", "train", numeric, categorical, "xt"), M.design("train", "test", numeric, categorical, "xr"),
+                       M.newton("xt", d, "solved", balanced=balanced), M.linear("xr", "solved", d, name)])
+
+
+def _evaluated_sql(model: str, balanced: bool) -> str:
+    return (f"WITH {_regression_sql(balanced=balanced)}, named AS (SELECT y, '{model}' AS model, p FROM scored), {S.evaluation('named', 0.5, ['model'])} "
+            + S.rounding("evaluation", S.EVALUATION_DOUBLES))
+
+
+def _scores(spark, sf_dir, plan, features=None, keep=("id", "p")):
+    train, test = _parts(spark, sf_dir)
+    return rounded(models.fit(train, plan, features or FEATURES).score(test).select(*keep))
+
+
+@register("F2_logistic", _evaluated_sql("logistic_regression", False))
 def logistic(spark, sf_dir):
-    return _holdout_metrics(spark, sf_dir, models.logistic())
+    return rounded(_holdout_metrics(spark, sf_dir, models.logistic()))
+
 
+@register("F2_logistic_scores", f"WITH {_regression_sql()} SELECT id, round(p, 6) + 0.0 AS p FROM scored")
+def logistic_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, models.logistic())
 
-@register("F3_logistic_balanced")
+
+@register("F3_logistic_balanced", _evaluated_sql("logistic_balanced", True))
 def logistic_balanced(spark, sf_dir):
-    return _holdout_metrics(spark, sf_dir, models.logistic(balanced=True))
+    return rounded(_holdout_metrics(spark, sf_dir, models.logistic(balanced=True)))
+
+
+@register("F3_logistic_balanced_scores", f"WITH {_regression_sql(balanced=True)} SELECT id, round(p, 6) + 0.0 AS p FROM scored")
+def logistic_balanced_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, models.logistic(balanced=True))
 
 
 @register("F4_random_forest")
 def random_forest(spark, sf_dir):
-    return _holdout_metrics(spark, sf_dir, models.forest(trees=20))
+    return _holdout_metrics(spark, sf_dir, models.forest())
 
 
 @register("F5_gradient_boosting")
 def gradient_boosting(spark, sf_dir):
-    return _holdout_metrics(spark, sf_dir, models.boosting(rounds=10))
+    """The default model: 150 rounds of 7 leaves."""
+    return _holdout_metrics(spark, sf_dir, models.boosting())
+
 
+@register("F5_first_trees", f"WITH {SIDES}, {M.boosted('train', 'test', B.NUMERIC, LEVELS, 'scored', rounds=3)} SELECT id, round(p, 6) + 0.0 AS p FROM scored")
+def first_trees(spark, sf_dir):
+    """Three trees of the default settings, whose splits and leaf values the SQL text finds by itself."""
+    return _scores(spark, sf_dir, models.boosting(rounds=3))
 
-@register("F6_sigmoid_calibration")
+
+@register("F5_penalised_tree", f"WITH {SIDES}, {M.boosted('train', 'test', B.NUMERIC, LEVELS, 'scored', 1, 0.2, 12, 35, 64, 3.5)} SELECT id, round(p, 6) + 0.0 AS p FROM scored")
+def penalised_tree(spark, sf_dir):
+    """One tree of twelve leaves with a leaf penalty and few bins."""
+    train, test = _parts(spark, sf_dir)
+    member = boost.Member(rounds=1, rate=0.2, leaves=12, leaf=35, l2=3.5)
+    counts = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    booster = boost.fit_boosters(train, [member], B.NUMERIC, B.CATEGORICAL, {None: models.statistics_of(train, FEATURES)}, {None: counts}, bins=64)[0]
+    return rounded(booster.score(test).select("id", "p"))
+
+
+SIGMOID = ",\n".join([SIDES, M.folds("train", "inner_rows", 3, "'42|calibration'"), M.training_sets("(SELECT * EXCLUDE (g) FROM inner_rows)", "sets", 3),
+                      "held AS (SELECT * EXCLUDE (g), fold AS g FROM inner_rows)", "asked AS (SELECT * EXCLUDE (g), CAST(range AS BIGINT) AS g FROM test, range(3))",
+                      M.design("sets", "sets", B.NUMERIC, LEVELS, "xt"), M.design("sets", "held", B.NUMERIC, LEVELS, "xh"),
+                      M.design("sets", "asked", B.NUMERIC, LEVELS, "xr"), M.newton("xt", WIDTH, "solved"), M.linear("xh", "solved", WIDTH, "margins"),
+                      M.sigmoids("margins", "sig"), M.linear("xr", "solved", WIDTH, "raw"),
+                      "calibrated AS (SELECT id, any_value(y) AS y, 'sigmoid' AS method, avg(1 / (1 + exp(-(a * margin + b)))) AS p FROM raw JOIN sig USING (g) GROUP BY id)"])
+
+
+@register("F6_sigmoid_calibration", f"WITH {SIGMOID}, scores AS (SELECT method, avg((p - y) * (p - y)) AS brier_score, {LOSS} AS log_loss FROM calibrated GROUP BY method) "
+          + S.rounding("scores", ["brier_score", "log_loss"]))
 def sigmoid_calibration(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
     score = models.sigmoid_calibration(train, models.logistic(), FEATURES)
-    return metrics.calibration_scores(score(test).withColumn("method", F.lit("sigmoid")))
+    return rounded(metrics.calibration_scores(score(test).withColumn("method", F.lit("sigmoid"))))
+
+
+@register("F6_calibrated_scores", f"WITH {SIGMOID} SELECT id, round(p, 6) + 0.0 AS p FROM calibrated")
+def calibrated_scores(spark, sf_dir):
+    train, test = _parts(spark, sf_dir)
+    return rounded(models.sigmoid_calibration(train, models.logistic(), FEATURES)(test).select("id", "p"))
 
 
-@register("F7_batch_scoring")
+@register("F7_batch_scoring", f"""WITH {_regression_sql()} SELECT id, round(p, 6) + 0.0 AS p, CASE WHEN p >= 0.3 THEN 'Yes' ELSE 'No' END AS predicted_class,
+  0.3::DOUBLE AS decision_threshold, 'run-1' AS run_id FROM scored""")
 def batch_scoring(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
     model = models.fit(train, models.logistic(), FEATURES)
-    return models.score_batch(test, model, 0.3, "run-1", FEATURES)
+    return rounded(models.score_batch(test, model, 0.3, "run-1", FEATURES))
 
 
 @register("F8_label_at", f"""WITH {S.SCORED} SELECT id, p, CASE WHEN p >= 0.35 THEN 'Yes' ELSE 'No' END AS predicted_class,
@@ -83,26 +154,43 @@ def oof_prior(spark, sf_dir):
     return rounded(models.oof_scores(folded, [models.prior()], models.Features((), ())))
 
 
-@register("F9_oof_scores")
+OOF = ",\n".join([S.CLS_NULLS, M.folds("cls_nulls", "folded", 5), M.training_sets("folded", "sets", 5), "held AS (SELECT *, fold AS g FROM folded)",
+                  M.design("sets", "sets", B.NUMERIC, LEVELS, "xt"), M.design("sets", "held", B.NUMERIC, LEVELS, "xr", keep=("id", "y", "fold")),
+                  M.newton("xt", WIDTH, "solved"), M.linear("xr", "solved", WIDTH, "unseen", ("id", "y", "fold")),
+                  "oof AS (SELECT y, fold, 'logistic_regression' AS model, p FROM unseen)"])
+
+
+@register("F9_oof_scores", f"WITH {OOF}, {S.evaluation('oof', 0.5, ['model', 'fold'])}, report AS (SELECT model, fold, {', '.join(S.FOLD_METRICS)} FROM evaluation) "
+          + S.rounding("report", S.FOLD_METRICS))
 def oof_scores(spark, sf_dir):
     folded = split.stratified_folds(B.cls_nulls(spark, sf_dir))
     scores = models.oof_scores(folded, [models.logistic()], FEATURES)
-    return metrics.fold_metrics(scores)
+    return rounded(metrics.fold_metrics(scores))
 
 
-@register("F10_score_all")
+@register("F10_score_all", f"""WITH {_regression_sql()} SELECT id, CAST(y AS BIGINT) AS y, 'logistic_regression' AS model, round(p, 6) + 0.0 AS p FROM scored
+  UNION ALL SELECT id, CAST(y AS BIGINT), 'dummy', round((SELECT avg(y) FROM train), 6) + 0.0 FROM test""")
 def score_all(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
     fitted = [models.fit(train, plan, FEATURES) for plan in (models.prior(), models.logistic())]
-    return models.score_all(test, fitted)
+    return rounded(models.score_all(test, fitted))
+
+
+# Engineered columns as the twin sees them; the excluded acctbal still feeds the mean.
+ENGINEERED = SIDES.replace("parts AS (SELECT *, CASE", "parts AS (SELECT *, totalprice / nullif(order_month + 1, 0) AS price_per_month, "
+                           "(coalesce(acctbal, 0) + coalesce(order_month, 0)) / nullif(CAST(acctbal IS NOT NULL AS INT) + CAST(order_month IS NOT NULL AS INT), 0) AS level, CASE")
+PIPELINE_NUMBERS = ["totalprice", "order_year", "order_month", "price_per_month", "level"]
+PIPELINE_LEVELS = {c: v for c, v in LEVELS.items() if c != "region"}
 
 
-@register("E10_full_pipeline")
+@register("E10_full_pipeline", f"WITH {_regression_sql(PIPELINE_NUMBERS, PIPELINE_LEVELS).replace(SIDES, ENGINEERED)} SELECT id, round(p, 6) + 0.0 AS p FROM scored")
 def full_pipeline(spark, sf_dir):
+    """Normalise, engineer a ratio and a row mean, impute, scale, encode and estimate, without one category and one number."""
     train, test = _parts(spark, sf_dir)
-    engineered = models.Features(FEATURES.numeric, FEATURES.categorical, {"price_per_month": ("totalprice", "order_month", 1)})
-    model = models.build_pipeline(train, engineered, models.logistic(), exclude=["region"])
-    return model.score(test).select("id", "p")
+    engineered = models.Features(FEATURES.numeric, FEATURES.categorical, {"price_per_month": ("totalprice", "order_month", 1)},
+                                 {"level": ("acctbal", "order_month")})
+    model = models.build_pipeline(train, engineered, models.logistic(), exclude=["region", "acctbal"])
+    return rounded(model.score(test).select("id", "p"))
 
 
 # ---- evaluation
@@ -143,10 +231,6 @@ def brier(spark, sf_dir):
     return rounded(metrics.brier(B.scored(spark, sf_dir, True), ["segment"]))
 
 
-LOSS = ("avg(-CASE WHEN y = 1 THEN ln(greatest(2.220446049250313e-16, least(p, 1 - 2.220446049250313e-16))) "
-        "ELSE ln(1 - greatest(2.220446049250313e-16, least(p, 1 - 2.220446049250313e-16))) END)")
-
-
 @register("G6_log_loss", f"WITH {S.SCORED_GROUPS} SELECT segment, round({LOSS}, 6) + 0.0 AS log_loss FROM scored GROUP BY segment")
 def log_loss(spark, sf_dir):
     return rounded(metrics.log_loss(B.scored(spark, sf_dir, True), ["segment"]))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from binoscope.operators import drift, experiments, explain, integrity, metrics, models, selection, split
 from binoscope.plans import bindings as B
 from binoscope.plans import sqltext as S
-from binoscope.plans.catalog_scores import FEATURES, _parts
+from binoscope.plans.catalog_scores import FEATURES, LEVELS, _parts, _regression_sql
 from binoscope.plans.registry import register, rounded
 from binoscope.sources.tables import load
 
@@ -198,10 +198,14 @@ def refit_trial(spark, sf_dir):
 
 # ---- explanations
 
-@register("I1_coefficients")
+NAMES = [*B.NUMERIC, *[f"{c}_{v}" for c, levels in LEVELS.items() for v in levels]]
+
+
+@register("I1_coefficients", f"WITH {_regression_sql()} SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, round(b{i + 1}, 6) + 0.0 AS coefficient FROM solved" for i, name in enumerate(NAMES)) + ")")
 def coefficients(spark, sf_dir):
     train, _ = _parts(spark, sf_dir)
-    return models.coefficients(spark, models.fit(train, models.logistic(), FEATURES))
+    return rounded(models.coefficients(spark, models.fit(train, models.logistic(), FEATURES)))
 
 
 @register("I2_importances")
