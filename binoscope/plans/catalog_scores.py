@@ -333,6 +333,12 @@ def bootstrap_ci(spark, sf_dir):
     return rounded(bootstrap.bootstrap_ci(B.scored(spark, sf_dir), 0.5, N_BOOT), 9)
 
 
+@register("G15_bootstrap_counts")
+def bootstrap_counts(spark, sf_dir):
+    """All 1,000 replicates, drawn from counted scores."""
+    return rounded(bootstrap.bootstrap_ci(B.scored(spark, sf_dir), 0.5, method="counts"), 9)
+
+
 def _poisson_sql(uniform: str) -> str:
     total, term, steps = 0.0, 2.718281828459045 ** -1, []
     for k in range(bootstrap.POISSON_STEPS):
@@ -389,23 +395,26 @@ def subgroup_ci(spark, sf_dir):
     return rounded(bootstrap.subgroup_ci(_banded(spark, sf_dir), ATTRIBUTES, 0.5, N_BOOT, method="draws"), 9)
 
 
-@register("G17_subgroup_ci_counts", f"""WITH {BANDED} SELECT DISTINCT attribute, "group", true AS ordered, true AS inside, true AS width FROM long""")
+BOUNDS = ", ".join(f"round(quantile_cont({m}, {q}), 9) + 0.0 AS {m}_{side}" for m in ("recall", "false_positive_rate", "selection_rate")
+                   for side, q in (("lower", 0.025), ("upper", 0.975)))
+
+
+@register("G17_subgroup_ci_counts", f"""WITH {BANDED}, sizes AS (SELECT attribute, "group", y, count(*) AS n, sum(CASE WHEN flagged THEN 1 ELSE 0 END) AS h
+    FROM long GROUP BY attribute, "group", y),
+  terms AS (SELECT attribute, "group", y, n, h, k, CASE WHEN h = 0 THEN CASE WHEN k = 0 THEN 1.0 ELSE 0.0 END WHEN h = n THEN CASE WHEN k = n THEN 1.0 ELSE 0.0 END
+    ELSE exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(h / n) + (n - k) * ln(1 - h / n)) END AS t
+    FROM (SELECT *, unnest(range(n + 1)) AS k FROM sizes)),
+  steps AS (SELECT attribute, "group", y, n, list(c ORDER BY k) AS c FROM (SELECT *, sum(t) OVER (PARTITION BY attribute, "group", y ORDER BY k) AS c FROM terms)
+    GROUP BY attribute, "group", y, n),
+  hits AS (SELECT attribute, "group", replicate, y, n, least(len(list_filter(c, lambda x: x < u)), n) AS hits FROM (
+    SELECT *, CAST({S.int_of('42', "'subgroups'", 'replicate', 'attribute', '"group"', 'y')} AS DOUBLE) / 4294967296.0::DOUBLE AS u
+    FROM steps, (SELECT range AS replicate FROM range(1000)))),
+  rates AS (SELECT attribute, "group", replicate, sum(CASE WHEN y = 1 THEN hits / n END) AS recall,
+    sum(CASE WHEN y = 0 THEN hits / n END) AS false_positive_rate, sum(hits) / sum(n) AS selection_rate FROM hits GROUP BY ALL)
+  SELECT attribute, "group", {BOUNDS} FROM rates GROUP BY attribute, "group" """)
 def subgroup_ci_counts(spark, sf_dir):
-    """All 1,000 replicates: the bounds are in order, hold the observed rate, and are about as wide as theory says."""
-    scores = _banded(spark, sf_dir)
-    bounds = bootstrap.subgroup_ci(scores, ATTRIBUTES, 0.5)
-    seen = metrics.subgroups(scores, ATTRIBUTES, 0.5)
-    both = same_keys(bounds, seen, ["attribute", "group"])
-    cells = [("recall", F.col("positive_count")), ("false_positive_rate", F.col("n") - F.col("positive_count"))]
-
-    def bound(name: str, side: str):
-        return F.col(f"{name}_{side}")
-    ordered = [bound(m, "lower") <= bound(m, "upper") for m, _ in cells]
-    inside = [(bound(m, "lower") <= F.col(m)) & (F.col(m) <= bound(m, "upper")) for m, _ in cells]
-    spread = [2 * 1.959964 * F.sqrt(F.col(m) * (1 - F.col(m)) / n) for m, n in cells]
-    width = [F.abs(bound(m, "upper") - bound(m, "lower") - s) <= 0.25 * s + 3 / n for (m, n), s in zip(cells, spread)]
-    return both.select("attribute", "group", *[F.coalesce(a & b, F.lit(True)).alias(name) for name, (a, b) in (
-        ("ordered", ordered), ("inside", inside), ("width", width))])
+    """The bounds of all 1,000 replicates, each one binomial number per group and class."""
+    return rounded(bootstrap.subgroup_ci(_banded(spark, sf_dir), ATTRIBUTES, 0.5), 9)
 
 
 @register("G18_fold_summary", f"WITH {S.FOLDED_MODELS}, {S.evaluation('folded', 0.5, ['model', 'fold'], 'per_fold')}, "
