@@ -54,6 +54,12 @@ def seed_choices(scored: DataFrame, prefer: Sequence[str] = SIMPLER_MODELS, tole
         "seed", "selected_model", "threshold", F.col("selected_score").alias("selected_cv_ap"))
 
 
+def seed_models(scored: DataFrame) -> DataFrame:
+    """(seed, model, mean_ap, std_ap): every candidate's fold APs per seed; input scored(id, y, p, model, fold, seed)."""
+    summary = fold_summary(fold_metrics(scored, ["seed", "model", "fold"]), ["seed", "model"], ["pr_auc"])
+    return summary.select("seed", "model", F.col("mean").alias("mean_ap"), F.col("std").alias("std_ap"))
+
+
 def stability_summary(choices: DataFrame) -> DataFrame:
     """How often each model was chosen, and the spread of the thresholds."""
     counts = choices.groupBy("selected_model").agg(F.count(F.lit(1)).alias("n"))

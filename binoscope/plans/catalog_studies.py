@@ -64,6 +64,12 @@ def seed_choices(spark, sf_dir):
     return rounded(experiments.seed_choices(_seeded(spark, sf_dir), **RULE))
 
 
+@register("H3_seed_models", f"""WITH {SEEDED} SELECT seed, model, round(avg(pr_auc), 6) + 0.0 AS mean_ap, round(stddev_pop(pr_auc), 6) + 0.0 AS std_ap
+  FROM per_fold GROUP BY seed, model""")
+def seed_models(spark, sf_dir):
+    return rounded(experiments.seed_models(_seeded(spark, sf_dir)))
+
+
 @register("H3_stability_summary", f"""WITH {SEEDED}, counts AS (SELECT selected_model, count(*) AS n FROM choices GROUP BY selected_model)
   SELECT (SELECT string_agg(selected_model || ':' || n, ',' ORDER BY selected_model) FROM counts) AS selection_counts,
     min(threshold) AS threshold_min, max(threshold) AS threshold_max, round(stddev_pop(threshold), 6) + 0.0 AS threshold_std FROM choices""")
@@ -83,21 +89,31 @@ def tune(spark, sf_dir):
     return rounded(experiments.tune(table))
 
 
-SMALL = [models.prior(), models.logistic(), models.logistic(balanced=True)]
+# The regressions among the candidates, whose fits share their passes: all folds, grid entries and trials at production settings.
+REGRESSIONS = [models.prior(), models.logistic(), models.logistic(balanced=True)]
 
 
 @register("H5_run_procedure")
 def run_procedure(spark, sf_dir):
+    """All five candidates at their defaults on five folds."""
     train, test = _parts(spark, sf_dir)
-    choice = selection.run_procedure(train, SMALL, FEATURES, folds=3)
+    choice = selection.run_procedure(train, models.candidates(), FEATURES)
     return metrics.evaluate(choice.model.score(test), choice.threshold)
 
 
+@register("H5_run_procedure_scores", f"WITH {_regression_sql()} SELECT id, round(p, 6) + 0.0 AS p FROM scored")
+def run_procedure_scores(spark, sf_dir):
+    """Two candidates within the tolerance: the simpler is chosen, and its scores are those of its refit."""
+    train, test = _parts(spark, sf_dir)
+    choice = selection.run_procedure(train, [models.prior(), models.logistic()], FEATURES)
+    return rounded(choice.model.score(test).select("id", "p"))
+
+
 @register("H6_nested_cv")
 def nested_cv(spark, sf_dir):
+    """Five outer folds, five and three inner ones, the full grids of both regressions."""
     train, _ = _parts(spark, sf_dir)
-    grids = {"logistic_regression": {"C": [0.1, 1.0]}, "logistic_balanced": {"C": [1.0]}}
-    return selection.nested_cv(train, SMALL, FEATURES, outer=2, inner=2, grids=grids)
+    return selection.nested_cv(train, REGRESSIONS, FEATURES)
 
 
 PROCEDURES = ["model_a", "model_b", "model_c"]
@@ -114,13 +130,14 @@ def nested_summary(spark, sf_dir):
     return rounded(table.withColumn("selection_counts", F.array_join(entries, ",")))
 
 
-TINY_SPACE = {"logistic_regression": {"C": ("log", 0.01, 10.0), "balanced": [False, True]}}
+REGRESSION_SPACE = {"logistic_regression": selection.SPACE["logistic_regression"]}
 
 
 @register("H8_search")
 def search(spark, sf_dir):
+    """Thirty trials of the regression family on five folds."""
     train, _ = _parts(spark, sf_dir)
-    return selection.trial_table(spark, selection.search(train, FEATURES, n_trials=2, folds=2, space=TINY_SPACE))
+    return selection.trial_table(spark, selection.search(train, FEATURES, space=REGRESSION_SPACE, together=30)).drop("elapsed_seconds")
 
 
 @register("H9_best_trial", f"""WITH {TRIAL_MEANS}, done AS (SELECT * FROM described WHERE state = 'COMPLETE')
@@ -140,7 +157,7 @@ def search_status(spark, sf_dir):
 @register("H10_nested_search")
 def nested_search(spark, sf_dir):
     train, _ = _parts(spark, sf_dir)
-    return selection.nested_search(train, SMALL[:2], FEATURES, n_trials=1, outer=2, inner=2, space=TINY_SPACE)
+    return selection.nested_search(train, REGRESSIONS, FEATURES, space=REGRESSION_SPACE)
 
 
 def _differences(a: str, b: str) -> str:
@@ -191,8 +208,9 @@ def trial_rows(spark, sf_dir):
 @register("H15_refit_trial")
 def refit_trial(spark, sf_dir):
     train, test = _parts(spark, sf_dir)
-    records = selection.search(train, FEATURES, n_trials=1, folds=2, space=TINY_SPACE)
-    choice = selection.refit_trial(train, records, 0, FEATURES, folds=2, space=TINY_SPACE)
+    records = selection.search(train, FEATURES, space=REGRESSION_SPACE, together=30)
+    best = min((-r["value"], r["number"]) for r in records if r["state"] == "COMPLETE")[1]
+    choice = selection.refit_trial(train, records, best, FEATURES, space=REGRESSION_SPACE)
     return metrics.evaluate(choice.model.score(test), choice.threshold)
 
 
@@ -211,7 +229,7 @@ def coefficients(spark, sf_dir):
 @register("I2_importances")
 def importances(spark, sf_dir):
     train, _ = _parts(spark, sf_dir)
-    return models.importances(spark, models.fit(train, models.forest(trees=20), FEATURES))
+    return models.importances(spark, models.fit(train, models.forest(), FEATURES))
 
 
 def _formula(df):
