@@ -332,17 +332,19 @@ class Booster:
     base: float
     trees: list[Tree]
 
+    def margins(self, codes: np.ndarray) -> np.ndarray:
+        total = np.full(codes.shape[1], self.base)
+        for tree in self.trees:
+            total += tree.margins(codes)
+        return total
+
     def margin(self, df: DataFrame, name: str = "margin") -> DataFrame:
         """The input columns plus the raw margin, in one Arrow pass without a shuffle."""
-        layout, base, trees = self.layout, self.base, self.trees
+        layout = self.layout
 
         @F.arrow_udf("double")
         def margin_of(*cells: pa.Array) -> pa.Array:
-            codes = layout.codes(cells)
-            total = np.full(codes.shape[1], base)
-            for tree in trees:
-                total += tree.margins(codes)
-            return pa.array(total)
+            return pa.array(self.margins(layout.codes(cells)))
 
         cells = [F.col(f"`{c}`").cast("double" if c in layout.edges else "string") for c in layout.columns]
         return df.withColumn(name, margin_of(*cells))

@@ -100,8 +100,9 @@ def best_trial(trials: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                           & (F.abs("value") != F.lit(float("inf"))))
     described = usable.withColumn("mean_ap", mean).withColumn("std_ap", F.sqrt(F.aggregate(
         F.transform("fold_scores", lambda x: (x - F.col("mean_ap")) * (x - F.col("mean_ap"))), F.lit(0.0), lambda a, x: a + x) / size))
-    best = F.min(F.struct((-F.col("value")).alias("k"), F.col("number").alias("number"), "model", "parameters", "value",
-                          F.round("mean_ap", SCORE_DIGITS).alias("mean_ap"), F.round("std_ap", SCORE_DIGITS).alias("std_ap")))
+    # Parameters may be a map, which has no order: only value and number decide.
+    best = F.min_by(F.struct("number", "model", "parameters", "value", F.round("mean_ap", SCORE_DIGITS).alias("mean_ap"),
+                             F.round("std_ap", SCORE_DIGITS).alias("std_ap")), F.struct((-F.col("value")).alias("k"), F.col("number").alias("number")))
     return described.groupBy(*by).agg(best.alias("b")).where(F.col("b").isNotNull()).select(
         *by, *[F.col(f"b.{c}").alias(c) for c in ("number", "model", "parameters", "value", "mean_ap", "std_ap")])
 

@@ -7,11 +7,13 @@ The feature part of a pipeline holds only transformers: its statistics are compu
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassifier
@@ -19,6 +21,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from binoscope.functions.scalars import melt, sigmoid
 from binoscope.operators import boost, newton
@@ -292,31 +295,73 @@ def _fitted_stages(rows: DataFrame, plan: ModelPlan, features: Features, statist
     return fitted, names, made
 
 
-def _solved(rows: DataFrame, plans: Sequence[tuple[ModelPlan, Features, int | None]], statistics: Mapping[int | None, Mapping[str, dict]],
-            counts: Mapping[int | None, Mapping[int, int]], fold: str | None = None) -> list[FittedModel]:
-    """Regressions over the same features, in common Newton passes."""
-    features = plans[0][1]
-    members = [newton.Member(float(plan.params["C"]), plan.balanced, held) for plan, _, held in plans]
+Fits = Sequence[tuple[ModelPlan, Features, int | None]]         # plans over the same features, with the fold each must not see
+Scorer = Callable[[Sequence[pa.Array], int, int], np.ndarray]   # (cells of a batch, its rows, which fit) -> scores
+
+
+def _solve(rows: DataFrame, fits: Fits, statistics, counts, fold: str | None) -> tuple[list, Scorer]:
+    """Regressions in common Newton passes: their coefficients, and how to score raw cells by them."""
+    features = fits[0][1]
+    members = [newton.Member(float(plan.params["C"]), plan.balanced, held) for plan, _, held in fits]
     found = newton.fit_logistics(with_formulas(rows, features), members, features.numbers, features.categorical, statistics, counts, fold)
+    return found, newton.probabilities(members, found, features.numbers, features.categorical, statistics)
+
+
+def _solved(rows: DataFrame, fits: Fits, statistics, counts, fold: str | None = None) -> list[FittedModel]:
+    found, _ = _solve(rows, fits, statistics, counts, fold)
     models = []
-    for (plan, _, held), values in zip(plans, found):
+    for (plan, features, held), values in zip(fits, found):
         fitted, names, _ = _fitted_stages(rows, plan, features, statistics[held])
         models.append(FittedModel(plan.name, PipelineModel([*fitted, _with_coefficients(rows.sparkSession, values)]), names))
     return models
 
 
-def _boosted(rows: DataFrame, plans: Sequence[tuple[ModelPlan, Features, int | None]], statistics: Mapping[int | None, Mapping[str, dict]],
-             counts: Mapping[int | None, Mapping[int, int]], fold: str | None = None) -> list[FittedModel]:
-    """Boosted models over the same features, in common passes."""
-    features = plans[0][1]
+def _boost(rows: DataFrame, fits: Fits, statistics, counts, fold: str | None) -> tuple[list[boost.Booster], Scorer]:
+    """Boosted models in common passes, and how to score raw cells by them."""
+    features = fits[0][1]
     members = [boost.Member(int(p["rounds"]), float(p["rate"]), int(p["leaves"]), int(p["leaf"]), float(p.get("l2", 0)), plan.balanced, held)
-               for plan, _, held in plans for p in (plan.params,)]
+               for plan, _, held in fits for p in (plan.params,)]
     found = boost.fit_boosters(with_formulas(rows, features), members, features.numbers, features.categorical, statistics, counts, fold)
-    engineered = engineering_stage(features)
-    return [FittedBooster(plan.name, PipelineModel([engineered] if engineered else []), [*features.numbers, *features.categorical], booster)
-            for (plan, _, _), booster in zip(plans, found)]
+
+    def score(cells: Sequence[pa.Array], rows: int, fit: int) -> np.ndarray:
+        return 1 / (1 + np.exp(-found[fit].margins(found[fit].layout.codes(cells))))
+    return found, score
 
 
+def _boosted(rows: DataFrame, fits: Fits, statistics, counts, fold: str | None = None) -> list[FittedModel]:
+    features = fits[0][1]
+    found, _ = _boost(rows, fits, statistics, counts, fold)
+    engineered = engineering_stage(features)
+    return [FittedBooster(plan.name, PipelineModel([engineered] if engineered else []), [*features.numbers, *features.categorical], booster)
+            for (plan, _, _), booster in zip(fits, found)]
+
+
+def _held_out_scores(folded: DataFrame, fits: Fits, score: Scorer, keep: Sequence[str]) -> DataFrame:
+    """(keep..., model, p) of every row by the fits that did not see its fold, in one pass over the rows."""
+    features = fits[0][1]
+    ready = with_formulas(folded, features)
+    cells = [F.col(f"`{c}`").cast("double").alias(f"__n{i}") for i, c in enumerate(features.numbers)]
+    cells += [F.col(f"`{c}`").cast("string").alias(f"__c{i}") for i, c in enumerate(features.categorical)]
+    named = [(plan.name, held) for plan, _, held in fits]
+    width = len(keep)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folds = batch.column(width).to_numpy(zero_copy_only=False)
+            for held in np.unique(folds).tolist():
+                own = batch.filter(pa.array(folds == held))
+                for k, (name, fold) in enumerate(named):
+                    if fold == held:
+                        p = score(own.columns[width + 1:], own.num_rows, k)
+                        yield pa.RecordBatch.from_arrays([*own.columns[:width], pa.array([name] * own.num_rows, pa.string()), pa.array(p)],
+                                                         names=[*keep, "model", "p"])
+
+    asked = ready.select(*[F.col(f"`{c}`") for c in keep], F.col("fold").cast("int").alias("__fold"), *cells)
+    schema = T.StructType([*folded.select(*keep).schema.fields, T.StructField("model", T.StringType()), T.StructField("p", T.DoubleType())])
+    return asked.mapInArrow(scored, schema)
+
+
+SOLVERS = {"logistic_regression": _solve, "gradient_boosting": _boost}
 TOGETHER = {"logistic_regression": _solved, "gradient_boosting": _boosted}
 
 
@@ -405,8 +450,8 @@ def oof_scores(folded: DataFrame, plans: Sequence[ModelPlan], features: Features
                 raise ValueError("Fitting needs both classes.")
             if not (asked[0][1].numbers or asked[0][1].categorical):
                 raise ValueError("Fitting needs at least one feature.")
-            models = TOGETHER[family](folded, asked, known[id(of(own[0]))], counts, "fold")
-            return [scored(model, plan, fold) for model, (plan, _, fold) in zip(models, asked)]
+            _, score = SOLVERS[family](folded, asked, known[id(of(own[0]))], counts, "fold")
+            return [_held_out_scores(folded, asked, score, keep)]
 
         # Plans of one family over the same features share their passes over the rows, all folds at once.
         groups: dict[tuple[str, int], list[ModelPlan]] = {}

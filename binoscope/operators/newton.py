@@ -8,7 +8,7 @@ and the map is applied to the sums. One pass a step: tasks sum, the driver solve
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -111,6 +111,18 @@ def _sums(rows: DataFrame, design: Design, members: Sequence[Member], weights: S
     return rows.mapInArrow(add, "model int, sums binary")
 
 
+def probabilities(members: Sequence[Member], coefficients: Sequence[np.ndarray], numeric: Sequence[str], categorical: Sequence[str],
+                  statistics: Mapping[int | None, Mapping[str, dict]]) -> Callable[[Sequence[pa.Array], int, int], np.ndarray]:
+    """A function (cells, rows, member) -> scores of the rows, for the cells of a batch: numerics as doubles, categories as text."""
+    levels = {c: sorted({v for m in members for v in statistics[m.fold]["categorical"][c][1]}) for c in categorical}
+    design = Design(list(numeric), levels)
+    raw = [design.map(statistics[m.fold]) @ b for m, b in zip(members, coefficients)]
+
+    def score(cells: Sequence[pa.Array], rows: int, member: int) -> np.ndarray:
+        return 1 / (1 + np.exp(-(design.matrix(cells, rows) @ raw[member])))
+    return score
+
+
 def _kept(key: tuple, total: np.ndarray) -> dict:
     return {"model": key[0], "sums": total.tobytes()}
 
