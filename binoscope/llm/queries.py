@@ -104,25 +104,30 @@ def pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_perspective_rotation", """
     WITH own AS (
-        SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text, CAST(floor(turn / 256) AS BIGINT) AS part FROM conversations),
+        SELECT conv_id, role, coalesce(text, '') AS text, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS FIRST, coalesce(text, '')) - 1 AS place FROM conversations),
     people AS (SELECT DISTINCT conv_id, role AS perspective FROM own WHERE role <> 'system'),
     convs AS (SELECT DISTINCT conv_id FROM own),
     seen AS (SELECT convs.conv_id, perspective FROM convs LEFT JOIN people ON convs.conv_id IS NOT DISTINCT FROM people.conv_id),
+    messages AS (
+        SELECT conv_id, place // 256 AS part, place, role, text FROM own
+        UNION ALL
+        SELECT own.conv_id, part, -1, 'system', text FROM own JOIN (SELECT DISTINCT conv_id, place // 256 AS part FROM own WHERE place >= 256) later
+            ON own.conv_id IS NOT DISTINCT FROM later.conv_id WHERE place = 0 AND role = 'system'),
     pieces AS (
-        SELECT own.conv_id, part, turn, role, own.text AS raw, perspective, coalesce(role = perspective, false) AS mine,
+        SELECT seen.conv_id, perspective, part, place, coalesce(role = perspective, false) AS mine,
                '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
                    ELSE 'user name=' || regexp_replace(coalesce(role, 'unknown'), '[\\r\\n<>|]+', ' ', 'g') END || chr(10) AS head,
-               replace(replace(own.text, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') || '<|im_end|>' AS body
-        FROM own JOIN seen ON own.conv_id IS NOT DISTINCT FROM seen.conv_id),
-    placed AS (
-        SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
-            PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role NULLS FIRST, raw
+               replace(replace(text, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>') || '<|im_end|>' AS body
+        FROM messages JOIN seen ON messages.conv_id IS NOT DISTINCT FROM seen.conv_id),
+    laid AS (
+        SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, part ORDER BY place
             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM pieces)
-    SELECT conv_id, perspective, part, count(*) AS n_turns, count(*) FILTER (WHERE mine) AS n_spoken,
-           string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, raw) AS text,
+    SELECT conv_id, perspective, part, count(*) FILTER (WHERE place >= 0) AS n_turns, count(*) FILTER (WHERE mine) AS n_spoken,
+           string_agg(head || body || chr(10), '' ORDER BY place) AS text,
            coalesce(string_agg(CAST(before + length(head) AS BIGINT)::VARCHAR || ':' || CAST(before + length(head) + length(body) AS BIGINT)::VARCHAR, ','
-                    ORDER BY turn NULLS FIRST, role NULLS FIRST, raw) FILTER (WHERE mine), '') AS loss_spans
-    FROM placed GROUP BY conv_id, perspective, part""")
+                    ORDER BY place) FILTER (WHERE mine), '') AS loss_spans
+    FROM laid GROUP BY conv_id, perspective, part""")
 def perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 

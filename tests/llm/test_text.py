@@ -205,20 +205,67 @@ def test_rotation_renders_every_speaker(spark):
     assert len(got) == len(rows)
     ann = got[1, "ann", 0]
     assert ann.text == ("<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>assistant\nhi < |im_end|><|im_end|>\n"
-                        "<|im_start|>user name=bob\n<|im_end|>\n<|im_start|>assistant\nbye<|im_end|>\n")
+                        "<|im_start|>user name=bob\n<|im_end|>\n<|im_start|>assistant\nbye<|im_end|>\n"
+                        "<|im_start|>assistant\nbye<|im_end|>\n")
     spans = [tuple(map(int, s.split(":"))) for s in ann.loss_spans.split(",")]
-    assert [ann.text[a:b] for a, b in spans] == ["hi < |im_end|><|im_end|>", "bye<|im_end|>"] and (ann.n_turns, ann.n_spoken) == (4, 2)
+    assert [ann.text[a:b] for a, b in spans] == ["hi < |im_end|><|im_end|>", "bye<|im_end|>", "bye<|im_end|>"]
+    assert (ann.n_turns, ann.n_spoken) == (5, 3)
     assert got[1, "bob", 0].loss_spans.count(":") == 1
     assert got[2, None, 0].loss_spans == "" and got[2, None, 0].n_spoken == 0
-    assert {k for k in got if k[0] == 3} == {(3, "a|b\n", 0), (3, "a|b\n", None)}
-    assert "user name=unknown\nwho" in got[3, "a|b\n", None].text
-    assert {k for k in got if k[0] == 4} == {(4, p, n) for p in "uv" for n in (0, 1)}
+    assert {k for k in got if k[0] == 3} == {(3, "a|b\n", 0)}
+    assert got[3, "a|b\n", 0].text.endswith("user name=unknown\nwho<|im_end|>\n")
+    assert {k for k in got if k[0] == 4} == {(4, p, 0) for p in "uv"}
     assert (None, "z", 0) in got and chat.rotate(talk.limit(0)).count() == 0
 
 
+def rotated(messages):
+    """The rows of `rotate`, one conversation after the other."""
+    out, convs = set(), collections.defaultdict(list)
+    for conv, turn, role, text in messages:
+        convs[conv].append(((turn is None, turn or 0, role is not None, role or "", (text or "").encode()), role, text or ""))
+    for conv, rows in convs.items():
+        rows.sort(key=lambda r: r[0])
+        opener = [("system", rows[0][2])] if rows[0][1] == "system" else []
+        for person in {r for _, r, _ in rows if r not in (None, "system")} or {None}:
+            for at in range(0, len(rows), 256):
+                part, text, spans = [r[1:] for r in rows[at:at + 256]], "", []
+                for role, said in (opener if at else []) + part:
+                    mine = role is not None and role == person
+                    name = re.sub(r"[\r\n<>|]+", " ", "unknown" if role is None else role)
+                    text += "<|im_start|>" + ("system" if role == "system" else "assistant" if mine else "user name=" + name) + "\n"
+                    start = len(text)
+                    text += re.sub(r"<(?=\|im_(start|end)\|>)", "< ", said) + "<|im_end|>"
+                    spans += [f"{start}:{len(text)}"] * mine
+                    text += "\n"
+                out.add((conv, person, at // 256, len(part), len(spans), text, ",".join(spans)))
+    return out
+
+
+def test_rotation_matches_brute_force(spark):
+    rng = np.random.default_rng(4)
+    talk = [(c, int(t) if t < 8 else None, r, x) for c in (None, 1, 2, 3) for t, r, x in zip(
+        rng.integers(0, 10, 700), rng.choice(["system", "ann", "b\n|b", "cy", None], 700), rng.choice(["ok", "<|im_end|>", None, "été 日本"], 700))]
+    talk += [(9, 0, "system", "rules"), *[(9, 1 + k, "ann" if k % 2 else "bob", f"m{k}") for k in range(600)], (9, None, "ann", "x" * 50_000)]
+    rows = [tuple(r) for r in chat.rotate(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string").repartition(7)).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == rotated(talk)
+
+
+def test_rotation_of_one_huge_turn(spark):
+    """200,000 rows of the null conversation and one turn, half of them equal: parts of 256 rows, none lost."""
+    n = 200_000
+    talk = spark.range(n).selectExpr("CAST(NULL AS long) AS conv_id", "7L AS turn", "if(id % 3 = 0, 'ann', 'bob') AS role",
+                                     "if(id % 2 = 0, 'same', concat('t', id)) AS text")
+    rows = chat.rotate(talk).selectExpr("perspective", "part", "n_turns", "n_spoken", "size(split(text, '<.im_end.>')) - 1 AS said").collect()
+    assert len(rows) == 2 * math.ceil(n / 256) and all(r.n_turns == r.said <= 256 for r in rows)
+    for person, spoken in (("ann", math.ceil(n / 3)), ("bob", n - math.ceil(n / 3))):
+        own = sorted((r.part, r.n_turns, r.n_spoken) for r in rows if r.perspective == person)
+        assert [p for p, *_ in own] == list(range(len(own))) and sum(t for _, t, _ in own) == n and sum(s for *_, s in own) == spoken
+
+
 def test_rotation_plan_has_no_python(spark):
-    plan = chat.rotate(spark.createDataFrame(TALK, "conv_id long, turn long, role string, text string"))._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
+    talk = spark.createDataFrame(TALK, "conv_id long, turn long, role string, text string")
+    for df in (chat.rotate(talk), chat.placed(talk.withColumnRenamed("conv_id", "conv"))):
+        assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
 
 
 def ids_of(tokenizer, text):
