@@ -1,14 +1,15 @@
 """Quality rules: base counts, and the Jensen-Shannon divergence of a document from language references.
 
 Everything is a DataFrame expression on one row: the only shuffles are the sums behind the references, which hold one
-row per language of LANGUAGES.
+row per language and class or common word, and, where the documents name a language without a word list, the count of
+that language's words.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binoscope.llm.text import free_name, let
@@ -20,8 +21,6 @@ COMMON_WORDS = {
     "es": "de la que el en y los se del las un por con no una para su al lo como más pero sus le ya o este sí porque esta".split(),
     "fr": "de la le et les des un une du en que est pour dans qui pas au sur ne se ce il plus par avec son sont je vous elle".split(),
 }
-LANGUAGES = sorted(COMMON_WORDS)
-LEXICON = sorted({w for words in COMMON_WORDS.values() for w in words})
 # Character classes, taken away from a text one after the other; what is left is the class "other".
 CLASSES = [("lower", "[a-z]+"), ("space", "[\\x20\\x09-\\x0D]+"), ("symbol", "[#*$%&|<>]+"), ("upper", "[A-Z]+"),
            ("mark", "[.,;:!?'\"()\\-]+"), ("digit", "[0-9]+")]
@@ -30,6 +29,10 @@ CLASS_NAMES = [name for name, _ in CLASSES] + ["other"]
 LEAST_WORDS = 50            # fewer words fail the base rule
 LEAST_CHARACTERS = 200      # guard of the character histogram
 LEAST_COUNTED_WORDS = 80    # guard of the common-word histogram
+LEARNED_WORDS = 32          # common words of a language without a list
+LONGEST_COMMON_WORD = 32    # characters of a learned common word
+LEAST_REFERENCE_WORDS = 1_000   # a language with fewer words in all its documents has no reference
+MOST_LANGUAGES = 256        # more values of lang are an error
 MOST_CLASS_DIVERGENCE = 0.09
 MOST_WORD_DIVERGENCE = 0.1
 
@@ -106,7 +109,7 @@ def repeated_words(words: Column, keys: Column) -> Column:
     return let(let(_hash_part(words), lambda part: alike(keys, part)), lambda close: F.when(F.size(close) > 0, count(close)).otherwise(F.lit(0))).cast("long")
 
 
-def common_counts(words: Column) -> Column:
+def common_counts(words: Column, lexicon: list[str]) -> Column:
     """array<struct<word, n>>: how often each word of the lexicon stands in the text, by runs of the sorted hits."""
     def runs(hits: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(hits) - 1),
@@ -114,7 +117,7 @@ def common_counts(words: Column) -> Column:
         return let(starts, lambda at: F.transform(at, lambda start, k: F.struct(
             F.get(hits, start).alias("word"), (F.coalesce(F.get(at, k + 1), F.size(hits)) - start).alias("n"))))
 
-    hits = F.sort_array(F.filter(words, lambda w: w.isin(LEXICON)))
+    hits = F.sort_array(F.filter(words, lambda w: w.isin(lexicon)))
     return let(hits, lambda own: F.when(F.size(own) > 0, runs(own)).otherwise(
         F.array().cast("array<struct<word:string,n:int>>")))
 
@@ -127,10 +130,13 @@ def _divergence_term(p: Column, q: Column) -> Column:
 
 
 class References:
-    """Histograms of each language: shares of the character classes, and of the common words and all others."""
+    """Histograms of each language: shares of the character classes, and of the common words and all others.
 
-    def __init__(self, classes: dict[str, list[float]], words: dict[str, dict[str, float]]):
-        self.classes, self.words = classes, words
+    `unknown` are the languages that documents name and that have no reference.
+    """
+
+    def __init__(self, classes: dict[str, list[float]], words: dict[str, dict[str, float]], lexicon: list[str], unknown: list[str]):
+        self.classes, self.words, self.lexicon, self.unknown = classes, words, lexicon, unknown
 
     def class_divergence(self, counts: Column) -> Column:
         """From the nearest language."""
@@ -158,37 +164,65 @@ class References:
         return let(counts, lambda own: F.array_min(F.array(*[to(s, own) for s in self.words.values()], F.lit(1.0))))
 
 
+def learned_words(own: DataFrame) -> dict[str, list[str]]:
+    """own(lang, text): the LEARNED_WORDS most frequent words of each language, ties to the first in order.
+
+    A common word is made of letters and marks only. Counts are summed before they are shuffled, and only the listed
+    words of a language reach the driver.
+    """
+    words = own.select("lang", F.explode(words_of(F.col("text"))).alias("word"))
+    words = words.where((F.length("word") <= LONGEST_COMMON_WORD) & F.col("word").rlike("^[\\p{L}\\p{M}]+$"))
+    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
+    found: dict[str, list[str]] = {}
+    for row in counts.withColumn("place", place).where(F.col("place") <= LEARNED_WORDS).collect():
+        found.setdefault(row["lang"], []).append(row["word"])
+    return found
+
+
 def fit_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
-    """Sums over all documents of each language of LANGUAGES; one small row per language and class or word.
+    """Sums over all documents of each language that `lang` names; one small row per language and class or word.
 
-    A language without documents has no reference; without any, every divergence is the upper bound 1 and the method
-    keeps nothing but what its guards let through.
+    The common words of a language without a list in COMMON_WORDS are learned from its documents. A language with
+    fewer than LEAST_REFERENCE_WORDS words in all has no reference; without any reference every divergence is the
+    upper bound 1.
     """
-    own = docs.where(F.col(lang).isin(LANGUAGES)).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    own = docs.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    named = sorted(r["lang"] for r in own.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(named) > MOST_LANGUAGES:
+        raise ValueError(f"More than {MOST_LANGUAGES} languages.")
+    unlisted = [name for name in named if name not in COMMON_WORDS]
+    lists = {name: COMMON_WORDS[name] for name in named if name in COMMON_WORDS}
+    if unlisted:
+        lists |= learned_words(own.where(F.col("lang").isin(unlisted)))
+    lexicon = sorted({w for words in lists.values() for w in words})
     counted = own.select("lang", class_lengths(F.col("text")).alias("classes"), words_of(F.col("text")).alias("words"))
     cells = counted.select("lang", F.inline(F.concat(
-        F.array(F.struct(F.lit("words").alias("word"), F.size("words").alias("n"))),
+        F.array(F.struct(F.lit("all words").alias("word"), F.size("words").alias("n"))),
         *[F.array(F.struct(F.lit(f"class {k}").alias("word"), F.col("classes")[i].alias("n"))) for i, k in enumerate(CLASS_NAMES)],
-        common_counts(F.col("words")))))
+        common_counts(F.col("words"), lexicon))))
+    # A common word has no blank, so it is none of the names of the other cells.
     sums = {(r["lang"], r["word"]): r["n"] for r in cells.groupBy("lang", "word").agg(F.sum("n").alias("n")).collect()}
     classes, words = {}, {}
-    for name in LANGUAGES:
+    for name in named:
         total = sum(sums.get((name, f"class {k}"), 0) for k in CLASS_NAMES)
-        if total:
+        all_words = sums.get((name, "all words"), 0)
+        if total and all_words >= LEAST_REFERENCE_WORDS:
             classes[name] = [sums.get((name, f"class {k}"), 0) / total for k in CLASS_NAMES]
-        if sums.get((name, "words")):
-            words[name] = {w: sums[name, w] / sums[name, "words"] for w in LEXICON if (name, w) in sums} or {"": 0.0}
-    return References(classes, words)
+            words[name] = {w: sums[name, w] / all_words for w in lexicon if (name, w) in sums} or {"": 0.0}
+    return References(classes, words, lexicon, [name for name in named if name not in classes])
 
 
-def judged(docs: DataFrame, references: References, name: str, text: str = "text") -> DataFrame:
+def judged(docs: DataFrame, references: References, name: str, text: str = "text", lang: str = "lang") -> DataFrame:
     """docs with a struct column `name`: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     class_divergence, word_divergence (null without words), kept."""
+    # No reference says nothing against a document.
+    unknown = F.coalesce(F.col(f"`{lang}`").isin(references.unknown), F.lit(False)) if references.unknown else F.lit(False)
     def verdict(words: Column, classes: Column, repeats: Column) -> Column:
         n = F.size(words)
         characters = F.aggregate(classes, F.lit(0), lambda a, c: a + c)
         failed = (n < LEAST_WORDS) | (100 * repeats > 50 * n)
-        by_class, by_word = references.class_divergence(classes), F.when(n > 0, references.word_divergence(common_counts(words), n))
+        by_class, by_word = references.class_divergence(classes), F.when(n > 0, references.word_divergence(common_counts(words, references.lexicon), n))
 
         def close(c: Column, w: Column) -> Column:
             return (((characters < LEAST_CHARACTERS) | (c <= MOST_CLASS_DIVERGENCE))
@@ -197,7 +231,7 @@ def judged(docs: DataFrame, references: References, name: str, text: str = "text
             n.cast("long").alias("n_words"), (characters - classes[1]).cast("long").alias("word_chars"),
             classes[2].cast("long").alias("n_symbols"), duplicate_lines(F.col(f"`{text}`")).alias("n_dup_lines"),
             repeats.alias("n_repeat_words"), failed.alias("base_failed"), c.alias("class_divergence"),
-            w.alias("word_divergence"), (~failed & close(c, w)).alias("kept"))))
+            w.alias("word_divergence"), (~failed & (unknown | close(c, w))).alias("kept"))))
 
     # The keys are sorted in a column of their own, where Spark compiles the sort of plain longs.
     words, keys = free_name(docs, "words"), free_name(docs, "window_keys")
@@ -213,15 +247,16 @@ def quality(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str =
     """One row per document: id and the fields of `judged`.
 
     Null, empty and blank texts have no words and fail the base rule. Repeated rows give repeated results, an empty
-    table gives no rows, and columns other than id, text and lang are not read. `lang` only decides which reference a
-    document adds to; a document is held against the nearest reference, whatever its `lang` says.
+    table gives no rows, and columns other than id, text and lang are not read. `lang` decides which reference a document
+    adds to; a document is held against the nearest reference, whatever its `lang` says, unless that names a language
+    with too few words for a reference: then the base rules alone decide.
     """
     references = fit_references(docs, text, lang)
     verdict = free_name(docs, "verdict")
-    return judged(docs.select(id, text), references, verdict, text).select(id, f"{verdict}.*")
+    return judged(docs.select(id, text, lang), references, verdict, text, lang).select(id, f"{verdict}.*")
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows whose documents pass the base rules and stay near a language; all columns as they are."""
     verdict = free_name(docs, "verdict")
-    return judged(docs, fit_references(docs, text, lang), verdict, text).where(F.col(verdict)["kept"]).drop(verdict)
+    return judged(docs, fit_references(docs, text, lang), verdict, text, lang).where(F.col(verdict)["kept"]).drop(verdict)

@@ -14,6 +14,8 @@ from tokenizers import Tokenizer
 
 from binoscope.llm import chat, language, packing, pii, quality, toxicity
 
+COMMON = quality.COMMON_WORDS
+
 
 def base_counts(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
@@ -49,6 +51,60 @@ def test_quality_tells_prose_from_symbols(spark):
     assert quality.keep_good(documents(spark, [])).count() == 0
 
 
+def divergence(p, q):
+    return sum((x * math.log2(2 * x / (x + y)) if x else 0) / 2 + (y * math.log2(2 * y / (x + y)) if y else 0) / 2 for x, y in zip(p, q))
+
+
+def histograms(rows, lists):
+    """Per document: shares of the classes and of the common words; per language the same over all its documents."""
+    def classes(text):
+        counts, left = [], text
+        for _, pattern in quality.CLASSES:
+            less = re.sub(pattern, "", left)
+            counts.append(len(left) - len(less))
+            left = less
+        return counts + [len(left)]
+    lexicon = sorted({w for words in lists.values() for w in words})
+
+    def common(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        own = [words.count(w) for w in lexicon]
+        return own + [len(words) - sum(own)]
+
+    def shares(texts, count):
+        sums = np.sum([count(t) for t in texts], axis=0)
+        return sums / max(1, sums.sum())
+    langs = {k: [t for _, t, lang in rows if lang == k] for k in lists}
+    return ({k: (shares([t], classes), shares([t], common)) for k, t, _ in rows},
+            {k: (shares(texts, classes), shares(texts, common)) for k, texts in langs.items()})
+
+
+def tongue(seed, common, letters, n=300):
+    """Prose of a made-up language: common words and long ones out of its letters."""
+    rng = np.random.default_rng(seed)
+    return " ".join("".join(rng.choice(list(letters), 7)) if rng.random() < 0.6 else str(rng.choice(common)) for _ in range(n))
+
+
+def test_quality_learns_languages_without_a_list(spark):
+    russian, italian = "и в не на я быть он с что а по это".split(), "di e il che la non per un si con da una".split()
+    rows = [(k, tongue(k, russian, "абвгдежзиклмнопрстуф"), "ru") for k in range(10)] + \
+        [(20 + k, tongue(20 + k, italian, "abcdefghilmnop"), "it") for k in range(10)] + \
+        [(40 + k, tongue(40 + k, COMMON["en"], "abcdefghiklmnoprst"), "en") for k in range(10)]
+    junk = [(60, re.sub(" ", "%%% ", tongue(60, russian, "абвгдежз")), None), (61, tongue(61, ["x1"], "0123456789#"), "it")]
+    few = [(70, tongue(70, ["ja", "nie"], "ąęłóśźż", 90), "pl")]
+    docs = documents(spark, rows + junk + few)
+    references = quality.fit_references(docs)
+    assert references.unknown == ["pl"] and sorted(references.words) == ["en", "it", "ru"]
+    assert set(russian) <= set(references.lexicon) and set(italian) <= set(references.lexicon)
+    got = {r.doc_id: r for r in quality.quality(docs).collect()}
+    assert {k for k, r in got.items() if r.kept} == {k for k, *_ in rows + few}
+    lists = {k: [w for w in references.lexicon] for k in ("en", "it", "ru")}
+    own, known = histograms(rows + junk + few, lists)
+    for k, (by_class, by_word) in own.items():
+        assert got[k].class_divergence == pytest.approx(min(divergence(by_class, c) for c, _ in known.values()), abs=1e-9)
+        assert got[k].word_divergence == pytest.approx(min(divergence(by_word, w) for _, w in known.values()), abs=1e-9)
+
+
 def test_quality_plan_has_no_python(spark):
     plan = quality.quality(documents(spark, [(1, "a", "en")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
