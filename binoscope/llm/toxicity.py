@@ -147,7 +147,8 @@ def fit(documents: DataFrame, labels: DataFrame, id: str = "doc_id", text: str =
     marked = labels.where(F.col(label).isin(0, 1)).groupBy(id).agg(F.max(label).alias("label"))
     share = min(1.0, most / max(1, marked.count()))
     drawn = marked.where(F.pmod(F.xxhash64(id, F.lit("toxicity")), F.lit(1_000_000)) < int(share * 1_000_000))
-    sample = documents.select(id, text).join(drawn, id).select(F.col("label").cast("int").alias("label"), text)
+    # About `most` ids, so the texts stay where they are and only the drawn ones are read on.
+    sample = documents.select(id, text).join(F.broadcast(drawn), id).select(F.col("label").cast("int").alias("label"), text)
     sample = sample.mapInArrow(_words, "label int, words array<binary>, swaps array<struct<out: binary, into: binary, "
                                "gone: array<binary>, come: array<binary>>>").persist()
     try:
