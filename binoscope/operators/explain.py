@@ -2,33 +2,79 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from functools import reduce
+from hashlib import md5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from binoscope.functions.hashing import hash_hex
 from binoscope.functions.scalars import close_to, melt, same_keys, same_keys_full, sigmoid
-from binoscope.operators.metrics import score_curve, _ap
+from binoscope.operators.metrics import curve_of_cells, score_cells, score_curve, _ap
 from binoscope.operators.order import hash_rank
+from binoscope.session import materialize
 
 # Tolerance of the additivity check, number of listed contributions.
 ADD_RTOL, ADD_ATOL = 1e-5, 1e-6
 TOP_CONTRIBUTIONS = 10
+# Rounds of a permutation, coefficients of a round's polynomial, and the prime it is taken over.
+ROUNDS, DEGREE, PRIME = 4, 4, 2 ** 31 - 1
+
+
+def grid_of(rows: int) -> tuple[int, int]:
+    """Sides (a, b) of a grid of `rows` places or few more: of all a about the square root, the one that leaves fewest over."""
+    root = math.isqrt(rows)
+    return min(((a, -(-rows // a)) for a in range(max(2, root // 2 + 1), max(2, 2 * root) + 1)), key=lambda sides: (sides[0] * sides[1], sides))
+
+
+def round_keys(seed: int, repeat: int) -> list[list[int]]:
+    """Coefficients of the round polynomials of one repeat, by the same hash as every other seeded choice."""
+    def key(i: int) -> int:
+        return int(md5(f"{seed}|permute|{repeat}|{i}".encode()).hexdigest()[:8], 16) % PRIME
+    return [[key(i * DEGREE + k) for k in range(DEGREE)] for i in range(ROUNDS)]
+
+
+def moved(place: Column, keys: Column, rows: int) -> Column:
+    """The image of a place (0 to rows - 1) under the permutation that `keys`, an array of ROUNDS coefficient arrays, holds.
+
+    The place is cell (l, r) of a grid. A round adds a keyed cubic polynomial of one coordinate, over a prime field, to the
+    other, modulo that one's side, so every round is a bijection of the grid. A place that lands behind the last row goes on
+    until it does not; as the grid has d such cells, d more passes always end it, and d is 0 to a few. The steps are one
+    expression over bound variables: as columns of their own, a pushed filter would write them out into each other.
+    """
+    a, b = grid_of(rows)
+
+    def cell(own: Column, other: Column, side: Column, other_side: Column) -> Column:
+        return F.struct(own.alias("own"), other.alias("other"), side.alias("side"), other_side.alias("other_side"))
+
+    def turn(at: Column, k: Column) -> Column:
+        total = reduce(lambda acc, i: (acc * at["other"] + k[i]) % PRIME, range(1, DEGREE), k[0])
+        return cell(at["other"], (at["own"] + total) % at["side"], at["other_side"], at["side"])
+
+    def whole_pass(p: Column) -> Column:
+        side, other_side = F.lit(a).cast("long"), F.lit(b).cast("long")
+        return F.aggregate(keys, cell(((p - p % b) / b).cast("long"), p % b, side, other_side), turn, lambda at: at["own"] * b + at["other"])
+
+    passes = F.sequence(F.lit(0), F.lit(a * b - rows))
+    return F.aggregate(passes, place, lambda p, again: F.when((again == 0) | (p >= rows), whole_pass(p)).otherwise(p))
 
 
 def permuted(df: DataFrame, columns: Sequence[str], repeats: int, seed: int, id: str = "id") -> DataFrame:
     """Rows keyed by (column, repeat) in which that column carries the value of another row.
 
-    Each repeat ranks the rows in two unrelated hash orders; the row at a place of the first takes the values of the
-    row at that place of the second: an exact permutation at any size, without sorting the table. Only the permuted
-    values travel, and one join serves all columns.
+    The rows get places once, in a hash order. For each repeat a row sends its values to another place, found by
+    arithmetic from its own (`moved`): an exact permutation at any size, with no ranking per repeat. Only the permuted values
+    travel that often; the rest of a row travels once. No rows give no rows.
     """
-    rest = [c for c in df.columns if c not in columns]
-    repeated = df.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)).cast("array<bigint>")))
-    takes = hash_rank(repeated, ["repeat"], hash_hex(seed, "takes", F.col("repeat"), F.col(id))).drop("stratum_rows")
-    gives = hash_rank(repeated.select(id, "repeat", *columns), ["repeat"], hash_hex(seed, "gives", F.col("repeat"), F.col(id)))
-    donated = takes.join(gives.select("repeat", "place", F.struct(*columns).alias("__d")), ["repeat", "place"])
+    rest, rows = [c for c in df.columns if c not in columns], df.count()
+    placed = hash_rank(df, [], hash_hex(seed, "places", F.col(id)), rows).drop("stratum_rows").withColumn("place", F.col("place") - 1)
+    keys = F.array(*[F.struct(F.lit(r).cast("long").alias("repeat"), F.array(*[F.array(*[F.lit(k).cast("long") for k in ks]) for ks in round_keys(seed, r)]).alias("k"))
+                     for r in range(repeats)])
+    sent = placed.select("place", F.struct(*columns).alias("__d"), F.explode(keys).alias("__r"))
+    sent = sent.select(moved(F.col("place"), F.col("__r.k"), rows).alias("place"), "__d", F.col("__r.repeat").alias("repeat"))
+    donated = placed.join(sent, ["place"])
     variants = F.array(*[F.struct(F.lit(c).alias("column"), *[(F.col("__d")[k] if k == c else F.col(k)).alias(k) for k in columns])
                          for c in columns])
     return donated.select(*rest, "repeat", F.explode(variants).alias("v")).select(*rest, "repeat", "v.*")
@@ -38,12 +84,14 @@ def permutation_importance(df: DataFrame, score: Callable[[DataFrame], DataFrame
                            seed: int = 42, id: str = "id") -> DataFrame:
     """AP lost when a column is permuted: mean and population SD over the repeats, per column.
 
-    `score` adds p to a table and keeps the other columns. All (column, repeat) variants are scored in one pass
-    and evaluated in one grouping.
+    `score` adds p to a table and keeps the other columns. All (column, repeat) variants are scored in one pass, whose
+    counts by score are written once, and evaluated in one grouping.
     """
     base = score_curve(score(df)).groupBy().agg(_ap().alias("base_ap"))
-    shuffled = score_curve(score(permuted(df, columns, repeats, seed, id)), ["column", "repeat"]) \
-        .groupBy("column", "repeat").agg(_ap().alias("ap"))
+    by = ["column", "repeat"]
+    # Ranges, offsets and curve all read the cells; without the cut each would permute and score again.
+    cells = materialize(score_cells(score(permuted(df, columns, repeats, seed, id)), by))
+    shuffled = curve_of_cells(cells, by).groupBy(*by).agg(_ap().alias("ap"))
     # base is a single row.
     drops = shuffled.join(F.broadcast(base), F.lit(True)).withColumn("drop", F.col("base_ap") - F.col("ap"))
     return drops.groupBy(F.col("column").alias("feature")).agg(F.avg("drop").alias("mean_ap_decrease"),

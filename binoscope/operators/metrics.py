@@ -74,7 +74,13 @@ def score_curve(scored: DataFrame, by: Sequence[str] = (), weight: str | None =
     Exact for any number of distinct scores and any group size: see running_totals.
     """
     cuts = split_points(scored, "p") if cuts is None else cuts
-    run = running_totals(score_cells(scored, by, weight), by, "p", ["n_pos", "n_neg"], cuts, descending=True)
+    return curve_of_cells(score_cells(scored, by, weight), by, cuts)
+
+
+def curve_of_cells(cells: DataFrame, by: Sequence[str] = (), cuts: Sequence[float] | None = None) -> DataFrame:
+    """The curve of a table that score_cells has made."""
+    cuts = split_points(cells, "p") if cuts is None else cuts
+    run = running_totals(cells, by, "p", ["n_pos", "n_neg"], cuts, descending=True)
     return run.select(*by, "p", "n_pos", "n_neg", F.col("run_n_pos").alias("tp"), F.col("run_n_neg").alias("fp"),
                       F.col("total_n_pos").alias("n_p"), F.col("total_n_neg").alias("n_n"))
 

@@ -217,13 +217,13 @@ def passed_cuts(df: DataFrame, strata: Sequence[str], key: Column, cutoffs: Data
     return df.withColumn("__h", key).withColumn("passed", counted).drop("__h")
 
 
-def hash_rank(df: DataFrame, strata: Sequence[str], key: Column) -> DataFrame:
-    """Add `place` (1, 2, ... in hash order inside the stratum) and `stratum_rows`.
+def hash_rank(df: DataFrame, strata: Sequence[str], key: Column, rows: int | None = None) -> DataFrame:
+    """Add `place` (1, 2, ... in hash order inside the stratum) and `stratum_rows`. `rows` is the size of the table, if known.
 
     Buckets of a uniform hash are equal in size whatever the data, so no stratum is ever sorted in one task.
     """
     strata = list(strata)
-    keyed = df.withColumn("__h", key).withColumn("__b", F.substring("__h", 1, hash_digits(df.count())))
+    keyed = df.withColumn("__h", key).withColumn("__b", F.substring("__h", 1, hash_digits(df.count() if rows is None else rows)))
     counts = keyed.groupBy(*strata, "__b").agg(F.count(F.lit(1)).alias("n"))
     spans = running_totals(counts, strata, "__b", ["n"], [])
     offsets = spans.select(*strata, "__b", (F.col("run_n") - F.col("n")).alias("__before"),

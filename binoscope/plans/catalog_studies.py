@@ -239,12 +239,29 @@ def _formula(df):
 FORMULA_SQL = "signal * 0.9::DOUBLE + order_month / 120.0::DOUBLE"
 
 
-@register("I3_permutation_importance", f"""WITH {S.CLS}, base_rows AS (SELECT id, y, order_month, order_year, {S.score_of()} AS signal FROM cls),
-  placed AS (SELECT *, row_number() OVER (PARTITION BY repeat ORDER BY {S.hex_of('42', "'takes'", 'repeat', 'id')}) AS takes,
-    row_number() OVER (PARTITION BY repeat ORDER BY {S.hex_of('42', "'gives'", 'repeat', 'id')}) AS gives
-    FROM base_rows, (SELECT range AS repeat FROM range(10))),
-  donors AS (SELECT a.*, b.signal AS d_signal, b.order_month AS d_order_month, b.order_year AS d_order_year
-    FROM placed a JOIN placed b ON a.repeat = b.repeat AND a.takes = b.gives),
+def _pass_sql(source: str) -> str:
+    """One pass of all rounds over (l, r), then the place it ends in."""
+    for i in range(explain.ROUNDS):
+        own, other, side = ("l", "r", "a") if i % 2 == 0 else ("r", "l", "b")
+        total = "0::BIGINT"
+        for k in range(explain.DEGREE):
+            total = f"(({total} * {other} + k{i * explain.DEGREE + k}) % {explain.PRIME})"
+        source = f"(SELECT * REPLACE (({own} + {total}) % {side} AS {own}) FROM {source})"
+    return f"SELECT * REPLACE (l * b + r AS cell) FROM {source}"
+
+
+ROUND_KEYS_SQL = ", ".join(f"{S.int_of('42', repr('permute'), 'repeat', str(i))} % {explain.PRIME} AS k{i}" for i in range(explain.ROUNDS * explain.DEGREE))
+
+
+@register("I3_permutation_importance", f"""WITH RECURSIVE {S.CLS}, base_rows AS (SELECT id, y, order_month, order_year, {S.score_of()} AS signal FROM cls),
+  placed AS (SELECT *, row_number() OVER (ORDER BY {S.hex_of('42', "'places'", 'id')}) - 1 AS place FROM base_rows),
+  sides AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT n, unnest(range(greatest(2, s // 2 + 1), greatest(2, 2 * s) + 1)) AS a
+    FROM (SELECT count(*) AS n, floor(sqrt(count(*)))::BIGINT AS s FROM base_rows)) ORDER BY a * ((n + a - 1) // a), a LIMIT 1),
+  keys AS (SELECT repeat, {ROUND_KEYS_SQL} FROM (SELECT range AS repeat FROM range(10))),
+  walk AS ({_pass_sql('(SELECT place, place AS cell, place // b AS l, place % b AS r, n, a, b, keys.* FROM placed, sides, keys)')}
+    UNION ALL {_pass_sql('(SELECT * REPLACE (cell // b AS l, cell % b AS r) FROM walk WHERE cell >= n)')}),
+  donors AS (SELECT a.*, w.repeat, b.signal AS d_signal, b.order_month AS d_order_month, b.order_year AS d_order_year
+    FROM walk w JOIN placed a ON a.place = w.cell JOIN placed b ON b.place = w.place WHERE w.cell < w.n),
   variants AS (SELECT y, repeat, 'signal' AS "column", {FORMULA_SQL.replace('signal', 'd_signal')} AS p FROM donors
     UNION ALL SELECT y, repeat, 'order_month', {FORMULA_SQL.replace('order_month', 'd_order_month')} FROM donors
     UNION ALL SELECT y, repeat, 'order_year', {FORMULA_SQL} FROM donors),
