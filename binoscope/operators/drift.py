@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from binoscope.functions.scalars import melt, same_keys, steps_reached
+from binoscope.functions.scalars import melt, ratio, same_keys, same_keys_full, steps_reached
 from binoscope.operators.order import exact_quantiles, local_if_small
 
 # Fixed values of the index: decile cuts, share floor, status limits, rows below which it is mostly noise.
@@ -15,7 +16,6 @@ DECILES = {f"d{i}": i / 10 for i in range(1, 10)}
 SHARE_FLOOR = 1e-4
 MODERATE, SHIFT = 0.1, 0.25
 RELIABLE_ROWS = 100
-UNSEEN = "__unseen__"
 
 
 def bin_number(value: Column, cuts: Column) -> Column:
@@ -42,42 +42,51 @@ def decile_cuts(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     return deciles.select("feature", F.array_sort(F.array_distinct(F.array(*DECILES))).alias("cuts"))
 
 
-def _numeric_cells(df: DataFrame, numeric: Sequence[str], cuts: DataFrame) -> DataFrame:
-    """(feature, bin, n) for present values and bin null for missing ones; cuts has one row per feature."""
-    tagged = same_keys(melt(df, [], numeric), local_if_small(cuts), ["feature"])
-    place = F.when(F.col("value").isNotNull(), bin_number(F.col("value"), F.col("cuts")).cast("string"))
-    return tagged.groupBy("feature", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+def _numeric_places(df: DataFrame, numeric: Sequence[str], cuts: DataFrame) -> DataFrame:
+    """(feature, bin) per cell, bin null for missing values; cuts has one row per feature that has values, others have one bin."""
+    tagged = same_keys(melt(df, [], numeric), local_if_small(cuts), ["feature"], "left")
+    return tagged.select("feature", F.when(F.col("value").isNotNull(), F.coalesce(bin_number(F.col("value"), F.col("cuts")), F.lit(0)).cast("string")).alias("bin"))
 
 
-def _categorical_cells(df: DataFrame, categorical: Sequence[str]) -> DataFrame:
-    return melt(df, [], categorical, "string").groupBy("feature", F.col("value").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+def _cells(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], cuts: DataFrame | None, empty_bins: bool) -> DataFrame:
+    """(feature, kind, bin, n): one row per feature and bin or category, bin null for missing values, in one grouping.
+
+    A column with millions of categories is millions of small rows, dealt by (feature, bin). With `empty_bins` every bin of a
+    numeric feature has a row.
+    """
+    parts = []
+    if numeric:
+        parts.append(_numeric_places(df, numeric, cuts).select("feature", F.lit("numeric").alias("kind"), "bin", F.lit(1).alias("n")))
+        if empty_bins:
+            bins = F.explode(F.sequence(F.lit(0), F.size("cuts")).cast("array<string>")).alias("bin")
+            parts.append(cuts.select("feature", F.lit("numeric").alias("kind"), bins, F.lit(0).alias("n")))
+    if categorical:
+        parts.append(melt(df, [], categorical, "string").select("feature", F.lit("categorical").alias("kind"), F.col("value").alias("bin"),
+                                                                F.lit(1).alias("n")))
+    return reduce(DataFrame.unionByName, parts).groupBy("feature", "kind", "bin").agg(F.sum("n").alias("n"))
+
+
+def _with_totals(cells: DataFrame) -> DataFrame:
+    """Cells with n_rows and n_present of their feature; the totals have one row per column of the table."""
+    totals = cells.groupBy("feature", "kind").agg(F.sum("n").alias("n_rows"),
+                                                  F.coalesce(F.sum(F.when(F.col("bin").isNotNull(), F.col("n"))), F.lit(0)).alias("n_present"))
+    return same_keys(cells, F.broadcast(totals), ["feature", "kind"])
 
 
 def drift_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """One row per feature: kind, cuts, shares by bin or category, missing rate, row count."""
+    """One row per feature and bin or category: kind, cuts (numeric only), bin, share, missing rate, row count.
+
+    A feature without values has one row with a null bin and share. To be stored by the caller: reports read it twice.
+    """
     if not numeric and not categorical:
         raise ValueError("A profile needs at least one feature.")
-    cuts = decile_cuts(df, numeric) if numeric else df.sparkSession.createDataFrame([], "feature string, cuts array<double>")
-    parts = []
-    if numeric:
-        parts.append(_numeric_cells(df, numeric, cuts).withColumn("kind", F.lit("numeric")))
-    if categorical:
-        parts.append(_categorical_cells(df, categorical).withColumn("kind", F.lit("categorical")))
-    cells = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    present = F.col("bin").isNotNull()
-    packed = cells.groupBy("feature", "kind").agg(
-        F.sum("n").alias("n_rows"), F.sum(F.when(present, F.col("n"))).alias("n_present"),
-        F.collect_list(F.when(present, F.struct("bin", "n"))).alias("counts"))
-    joined = same_keys(packed, cuts, ["feature"], "left")
-    # Every bin of a numeric feature appears, also an empty one.
-    bins = F.when(F.col("kind") == "numeric", F.transform(F.sequence(F.lit(0), F.size("cuts")), lambda i: i.cast("string"))) \
-            .otherwise(F.array_sort(F.col("counts.bin")))
-    count_of = F.map_from_entries("counts")
-    shares = F.transform(bins, lambda b: F.struct(b.alias("bin"), (F.coalesce(F.try_element_at(count_of, b), F.lit(0))
-                                                                   / F.col("n_present")).alias("share")))
-    return joined.select("feature", "kind", "cuts", # A category column without values has no shares but is known to be empty: later values are all unseen.
-                         F.when((F.col("n_present") > 0) | (F.col("kind") == "categorical"), F.map_from_entries(shares)).alias("shares"),
-                         (1 - F.coalesce("n_present", F.lit(0)) / F.col("n_rows")).alias("missing_rate"), "n_rows")
+    empty = df.sparkSession.createDataFrame([], "feature string, cuts array<double>")
+    cuts = local_if_small(decile_cuts(df, numeric)) if numeric else empty
+    placed = same_keys(_with_totals(_cells(df, numeric, categorical, cuts, True)), cuts, ["feature"], "left")
+    known = F.col("bin").isNotNull()
+    return placed.where(known | (F.col("n_present") == 0)).select(
+        "feature", "kind", "cuts", "bin", F.when(known, ratio("n", "n_present")).alias("share"),
+        (1 - F.col("n_present") / F.col("n_rows")).alias("missing_rate"), "n_rows")
 
 
 def psi_term(expected: Column, actual: Column) -> Column:
@@ -97,38 +106,33 @@ def drift_status(value: Column) -> Column:
 def drift_report(df: DataFrame, profile: DataFrame) -> DataFrame:
     """One row per feature of the profile; values the profile never saw form one more bin of a categorical.
 
-    The profile holds one row per feature, so it is fetched to know the columns and broadcast to the cells.
-    Categories are compared on the counted cells, never on the rows.
+    Both sides are counted cells and meet by (feature, bin), so neither a hot feature nor one with very many categories lands in
+    one task. Only the names, kinds and cuts of the features are fetched and broadcast: one row per column.
     """
-    profile = local_if_small(profile)
-    kinds = {row["feature"]: row["kind"] for row in profile.select("feature", "kind").collect()}
+    features = local_if_small(profile.groupBy("feature", "kind").agg(F.first("cuts", True).alias("cuts"),
+                                                                     F.max("missing_rate").alias("reference_missing_rate"),
+                                                                     F.count("bin").alias("n_bins")))
+    kinds = {row["feature"]: row["kind"] for row in features.select("feature", "kind").collect()}
     numeric = [f for f, kind in kinds.items() if kind == "numeric"]
     categorical = [f for f, kind in kinds.items() if kind == "categorical"]
-    parts = []
-    if numeric:
-        parts.append(_numeric_cells(df, numeric, profile.select("feature", "cuts")))
-    if categorical:
-        cells = same_keys(_categorical_cells(df, categorical), profile.select("feature", "shares"), ["feature"])
-        known = F.map_contains_key("shares", F.coalesce("bin", F.lit("")))
-        parts.append(cells.groupBy("feature", F.when(F.col("bin").isNotNull(), F.when(known, F.col("bin")).otherwise(UNSEEN)).alias("bin"))
-                     .agg(F.sum("n").alias("n")))
-    cells = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    present = F.col("bin").isNotNull()
-    now = cells.groupBy("feature").agg(F.sum("n").alias("n_now"), F.sum(F.when(present, F.col("n"))).alias("present_now"),
-                                       F.map_from_entries(F.collect_list(F.when(present, F.struct("bin", "n")))).alias("counts"))
-    joined = same_keys(profile.withColumnRenamed("missing_rate", "reference_missing_rate"), now, ["feature"], "left")
-
-    def share(name: Column) -> Column:
-        return F.coalesce(F.try_element_at("counts", name), F.lit(0)) / F.col("present_now")
-
-    known_terms = F.transform(F.map_entries("shares"), lambda e: psi_term(e["value"], share(e["key"])))
-    unseen = F.when(F.col("kind") == "categorical", share(F.lit(UNSEEN)))
-    total = F.aggregate(known_terms, F.lit(0.0), lambda acc, x: acc + x)
-    value = F.when((F.col("present_now") > 0) & F.col("shares").isNotNull(),
-                   total + F.when(F.col("kind") == "categorical", psi_term(F.lit(0.0), unseen)).otherwise(0.0))
+    cells = _cells(df, numeric, categorical, features.where(F.col("cuts").isNotNull()).select("feature", "cuts"), False)
+    totals = cells.groupBy("feature").agg(F.sum("n").alias("n_now"),
+                                          F.coalesce(F.sum(F.when(F.col("bin").isNotNull(), F.col("n"))), F.lit(0)).alias("present_now"))
+    known = profile.where(F.col("bin").isNotNull()).select("feature", "bin", F.col("share").alias("expected"))
+    met = same_keys_full(known, cells.where(F.col("bin").isNotNull()).select("feature", "bin", "n"), ["feature", "bin"])
+    actual = ratio(F.coalesce("n", F.lit(0)), "present_now")
+    terms = same_keys(met, F.broadcast(totals), ["feature"]).groupBy("feature").agg(
+        F.sum(F.when(F.col("expected").isNotNull(), psi_term(F.col("expected"), actual))).alias("known"),
+        F.coalesce(F.sum(F.when(F.col("expected").isNull(), F.col("n"))), F.lit(0)).alias("unseen_now"))
+    joined = same_keys(same_keys(features, totals, ["feature"], "left"), terms, ["feature"], "left")
+    named, some = F.col("kind") == "categorical", F.col("present_now") > 0
+    unseen = F.when(named, ratio(F.coalesce("unseen_now", F.lit(0)), "present_now"))
+    # A category column that was empty is known to be empty: later values are all unseen.
+    value = F.when(some & (named | (F.col("n_bins") > 0)),
+                   F.coalesce("known", F.lit(0.0)) + F.when(named, psi_term(F.lit(0.0), unseen)).otherwise(0.0))
     rows = joined.select("feature", "kind", value.alias("psi"), drift_status(value).alias("status"), "reference_missing_rate",
-                         (1 - F.coalesce("present_now", F.lit(0)) / F.col("n_now")).alias("current_missing_rate"),
-                         F.when(F.col("present_now") > 0, unseen).alias("unseen_share"))
+                         (1 - ratio(F.coalesce("present_now", F.lit(0)), "n_now")).alias("current_missing_rate"),
+                         unseen.alias("unseen_share"))
     return rows.orderBy(F.col("psi").desc_nulls_last(), "feature")
 
 

@@ -9,6 +9,7 @@ from binoscope.plans import bindings as B
 from binoscope.plans import sqltext as S
 from binoscope.plans.catalog_scores import FEATURES, LEVELS, _parts, _regression_sql
 from binoscope.plans.registry import register, rounded
+from binoscope.session import materialize
 from binoscope.sources.tables import load
 
 RULE = {"prefer": ["model_b"], "tolerance": 0.02, "baseline": "model_c"}
@@ -367,7 +368,7 @@ PROFILE = (DRIFT_VIEWS + ", " + ", ".join(f"cuts_{c} AS (SELECT {_cuts(c)} AS cu
 @register("J1_drift_profile", f"WITH {PROFILE} " + S.rounding("profile", ["share", "missing_rate"]))
 def drift_profile(spark, sf_dir):
     table = drift.drift_profile(_drift(spark, sf_dir)[0], NUMERIC, CATEGORICAL)
-    return rounded(table.select("feature", "kind", F.explode("shares").alias("bin", "share"), "missing_rate", "n_rows"))
+    return rounded(table.where(F.col("bin").isNotNull()).select("feature", "kind", "bin", "share", "missing_rate", "n_rows"))
 
 
 @register("J1_decile_cuts", f"WITH {PROFILE} " + " UNION ALL ".join(
@@ -434,7 +435,7 @@ REPORT = (PROFILE + f""", cur_cells AS ({_shares('drift_cur')}), cur_totals AS (
 @register("J5_drift_report", f"WITH {REPORT} " + S.rounding("report", ["psi", "reference_missing_rate", "current_missing_rate", "unseen_share"]))
 def drift_report(spark, sf_dir):
     reference, present = _drift(spark, sf_dir)
-    return rounded(drift.drift_report(present, drift.drift_profile(reference, NUMERIC, CATEGORICAL)))
+    return rounded(drift.drift_report(present, materialize(drift.drift_profile(reference, NUMERIC, CATEGORICAL))))
 
 
 @register("J6_drift_gate", f"""WITH {REPORT} SELECT count(CASE WHEN status = 'shift' THEN 1 END) AS shift, count(CASE WHEN status = 'moderate' THEN 1 END) AS moderate,
@@ -442,7 +443,7 @@ def drift_report(spark, sf_dir):
   count(CASE WHEN status = 'shift' THEN 1 END) > 0 AS gate_failed, (SELECT count(*) FROM drift_cur) < 100 AS small_sample FROM report""")
 def drift_gate(spark, sf_dir):
     reference, present = _drift(spark, sf_dir)
-    report = drift.drift_report(present, drift.drift_profile(reference, NUMERIC, CATEGORICAL))
+    report = drift.drift_report(present, materialize(drift.drift_profile(reference, NUMERIC, CATEGORICAL)))
     return drift.drift_gate(report, present.count())
 
 
