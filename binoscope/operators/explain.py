@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
-from functools import reduce
 from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,24 +42,31 @@ def moved(place: Column, keys: Column, rows: int) -> Column:
 
     The place is cell (l, r) of a grid. A round adds a keyed cubic polynomial of one coordinate, over a prime field, to the
     other, modulo that one's side, so every round is a bijection of the grid. A place that lands behind the last row goes on
-    until it does not; as the grid has d such cells, d more passes always end it, and d is 0 to a few. The steps are one
-    expression over bound variables: as columns of their own, a pushed filter would write them out into each other.
+    until it does not; as the grid has d such cells, d more passes always end it, and d is 0 to a few. All numbers stay
+    below 2^62, so whole batches are moved by 64-bit array arithmetic.
     """
     a, b = grid_of(rows)
 
-    def cell(own: Column, other: Column, side: Column, other_side: Column) -> Column:
-        return F.struct(own.alias("own"), other.alias("other"), side.alias("side"), other_side.alias("other_side"))
-
-    def turn(at: Column, k: Column) -> Column:
-        total = reduce(lambda acc, i: (acc * at["other"] + k[i]) % PRIME, range(1, DEGREE), k[0])
-        return cell(at["other"], (at["own"] + total) % at["side"], at["other_side"], at["side"])
-
-    def whole_pass(p: Column) -> Column:
-        side, other_side = F.lit(a).cast("long"), F.lit(b).cast("long")
-        return F.aggregate(keys, cell(((p - p % b) / b).cast("long"), p % b, side, other_side), turn, lambda at: at["own"] * b + at["other"])
-
-    passes = F.sequence(F.lit(0), F.lit(a * b - rows))
-    return F.aggregate(passes, place, lambda p, again: F.when((again == 0) | (p >= rows), whole_pass(p)).otherwise(p))
+    def whole_pass(p: np.ndarray, k: np.ndarray) -> np.ndarray:
+        own, other, side, other_side = p // b, p % b, a, b
+        for i in range(ROUNDS):
+            total = k[:, i * DEGREE]
+            for j in range(1, DEGREE):
+                total = (total * other + k[:, i * DEGREE + j]) % PRIME
+            own, other, side, other_side = other, (own + total) % side, other_side, side
+        return own * b + other
+
+    @F.arrow_udf("long")
+    def image(places: pa.Array, coefficients: pa.Array) -> pa.Array:
+        k = coefficients.flatten().to_numpy(zero_copy_only=False).reshape(-1, ROUNDS * DEGREE)
+        p = whole_pass(places.to_numpy(zero_copy_only=False), k)
+        behind = np.flatnonzero(p >= rows)
+        while len(behind):
+            p[behind] = whole_pass(p[behind], k[behind])
+            behind = behind[p[behind] >= rows]
+        return pa.array(p)
+
+    return image(place, F.flatten(keys))
 
 
 def permuted(df: DataFrame, columns: Sequence[str], repeats: int, seed: int, id: str = "id") -> DataFrame:

@@ -43,3 +43,26 @@ def test_no_rows_and_rows_are_ranked_once(spark):
     plan = explain.permuted(rows, ["a"], 10, 42)._jdf.queryExecution().optimizedPlan().toString()
     ranks = [line for line in plan.splitlines() if "row_number" in line]
     assert ranks and not any("repeat" in line for line in ranks)
+
+
+def test_places_are_moved_by_arrays(spark):
+    """The image by hand, one place at a time, and no function that is interpreted for every row and round."""
+    rows = 37
+    a, b = explain.grid_of(rows)
+    keys = explain.round_keys(7, 2)
+
+    def by_hand(place):
+        while True:
+            own, other, side, other_side = place // b, place % b, a, b
+            for k in keys:
+                total = 0
+                for c in k:
+                    total = (total * other + c) % explain.PRIME
+                own, other, side, other_side = other, (own + total) % side, other_side, side
+            place = own * b + other
+            if place < rows:
+                return place
+
+    assert {r.id: r.image for r in _images(spark, rows, 3) if r.repeat == 2} == {i: by_hand(i) for i in range(rows)}
+    made = explain.permuted(spark.range(rows).select("id", F.col("id").alias("a")), ["a"], 2, 42)
+    assert "lambda" not in made._jdf.queryExecution().analyzed().toString()
