@@ -73,3 +73,22 @@ def test_a_search_adds_up_one_curvature_for_each_weighting(spark, monkeypatch):
     scores = models.oof_scores(_rows(spark, 4_000), plans, FEATURES)
     assert scores.count() == 6 * 4_000 and asked[0] == (30, 2)
     assert sum(leaders for _, leaders in asked) < sum(models for models, _ in asked) / 4
+
+
+def test_the_penalised_tree_reads_its_rows_once(spark, monkeypatch):
+    from binoscope.operators import boost
+    from binoscope.plans import catalog_scores
+
+    seen, plain = [], boost.fit_boosters
+    rows = spark.range(400).select("id", (F.col("id") % 2).cast("int").alias("y"), *[(F.col("id") % k).cast("double").alias(c) for k, c in zip((7, 11, 13, 5), FEATURE_NUMBERS)],
+                                   *[F.when(F.col("id") % 3 == 0, "u").otherwise("v").alias(c) for c in ("priority", "segment", "region")])
+
+    def noting(train, *args, **named):
+        seen.append(train.storageLevel.useMemory)
+        return plain(train, *args, **named)
+    monkeypatch.setattr(boost, "fit_boosters", noting)
+    monkeypatch.setattr(catalog_scores, "_parts", lambda *_: (rows.where("id % 4 > 0"), rows.where("id % 4 = 0")))
+    assert catalog_scores.penalised_tree(spark, "").count() == 100 and seen == [True]
+
+
+FEATURE_NUMBERS = ("totalprice", "acctbal", "order_year", "order_month")
