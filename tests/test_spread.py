@@ -92,3 +92,33 @@ def test_the_penalised_tree_reads_its_rows_once(spark, monkeypatch):
 
 
 FEATURE_NUMBERS = ("totalprice", "acctbal", "order_year", "order_month")
+
+
+def test_leaves_that_wait_are_counted_together(monkeypatch):
+    """Sums by hand, and as many counting calls for four leaves as for one."""
+    from binoscope.operators import boost
+
+    rng = np.random.default_rng(1)
+    layout = boost.Layout(["a", "b"], ["c"], {"a": [0.1, 0.2, 0.3], "b": [1.0]}, {"c": ["p", "q"]})
+    size = layout.sizes()
+    codes, y, folds = np.stack([rng.integers(0, n, 200) for n in size]).astype(np.uint16), rng.integers(0, 2, 200).astype(np.uint8), rng.integers(0, 3, 200).astype(np.int32)
+    view = boost.View([[0, 1, 2], [0], [0, 1]], [0, 0, 0], 0.2, (1.0, 2.0), 1, 0.0, 2)
+    tree = boost.Tree({0: (0, np.arange(size[0]) < 2, 1, 2), 1: (1, np.arange(size[1]) < 1, 3, 4), 2: (2, np.arange(size[2]) < 1, 5, 6)})
+
+    class Rows:
+        def mapPartitions(self, add):
+            return dict(add(iter([(codes, y, folds, np.zeros((1, 200)))])))
+    calls, plain = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: (calls.append(1), plain(*a, **k))[1])
+    one = boost._histograms(Rows(), layout, [view], {0: (tree, [5])})
+    asked, calls[:] = len(calls), []
+    four = boost._histograms(Rows(), layout, [view], {0: (tree, [3, 4, 5, 6])})
+    assert len(calls) == asked and (one[0, 5] == four[0, 5]).all()
+    at, weight, p = tree.nodes(codes), np.where(y == 1, 2.0, 1.0), 1 / (1 + np.exp(-0.2))
+    for leaf in (3, 4, 5, 6):
+        rows = np.flatnonzero((at == leaf) & (folds != 2))
+        want = np.zeros((3, sum(size)))
+        for k, start in enumerate(np.cumsum([0, *size[:-1]])):
+            for r in rows:
+                want[:, start + codes[k, r]] += ((p - y[r]) * weight[r], p * (1 - p) * weight[r], 1)
+        assert np.allclose(four[0, leaf], want)
