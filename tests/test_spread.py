@@ -122,3 +122,15 @@ def test_leaves_that_wait_are_counted_together(monkeypatch):
             for r in rows:
                 want[:, start + codes[k, r]] += ((p - y[r]) * weight[r], p * (1 - p) * weight[r], 1)
         assert np.allclose(four[0, leaf], want)
+
+
+def test_a_procedure_measures_its_candidates_once(spark, monkeypatch):
+    """What the choice reads is a local table, not the metrics of all candidates again."""
+    from binoscope.operators import experiments, selection
+
+    seen, plain = [], experiments.select_model
+    monkeypatch.setattr(experiments, "select_model", lambda means, *a, **k: (seen.append(means._jdf.queryExecution().optimizedPlan().toString()), plain(means, *a, **k))[1])
+    table = _rows(spark, 2_000).drop("fold")
+    choice = selection.run_procedure(table, [models.prior(), models.logistic(), models.logistic(balanced=True)], FEATURES, tuned=True)
+    assert choice.plan.family == "logistic_regression" and 0 < choice.threshold < 1
+    assert "Aggregate" not in seen[0] and "Window" not in seen[0], seen[0]
